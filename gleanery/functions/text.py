@@ -61,6 +61,8 @@ CJK_IDEOGRAPHS: Ranges = (
 FULL_WIDTH = "".join(map(chr, range(0xFF01, 0xFF5F))) + "　"
 HALF_WIDTH = "".join(map(chr, range(0x21, 0x7F))) + " "
 
+_FULL_WIDTH_RANGES: Ranges = ((0x3000, 0x3000), (0xFF01, 0xFF5E))
+
 #: Code points that compatibility composition leaves alone whatever stands next
 #: to them, so that text made of these needs no normalisation: ASCII, Latin-1
 #: letters, ideographic comma and stop, plain kana, unified ideographs, Hangul
@@ -120,8 +122,8 @@ _WS_FIRST = rf"[[^!-~\x{{C0}}-\x{{24F}}\x{{4E00}}-\x{{10FFFF}}]&&[{_WS}]]"
 # Leaves a lone ordinary space alone, so that plain prose has few matches.
 _UNEVEN_SPACE = rf"{_WS_FIRST}(?:(?<! )[{_WS}]*|[{_WS}]+)"
 _EMOJI_RUN = rf"[[^\x00-\x{{1FFF}}\x{{3000}}-\x{{FDFF}}]&&[{class_body(EMOJI)}]]+"
-_FULL_WIDTH_ANY = r"[\x{FF01}-\x{FF5E}\x{3000}]"
-_ALL_STABLE = rf"^[{class_body(NFKC_STABLE)}]*+\z"
+_FULL_WIDTH_ANY = f"[{class_body(_FULL_WIDTH_RANGES)}]"
+_FOLDABLE = rf"^[{class_body(NFKC_STABLE + _FULL_WIDTH_RANGES)}]*+\z"
 
 
 def strip_space(text: Column) -> Column:
@@ -142,15 +144,17 @@ def _nfkc(values: pa.Array) -> pa.Array:
 
 
 def compose_compat(text: Column) -> Column:
-    """Unicode NFKC.
+    """Unicode NFKC, which folds full-width forms too.
 
     Spark has no such function, so this is the one Python step on text.  Only
-    rows that can change reach Python: the others are handed over as NULL.
-    The function is declared non-deterministic so that a filter on its result
-    does not make Spark evaluate it a second time below the projection.
+    rows that need it reach Python: text of stable characters stays as it is,
+    and with full-width forms besides it takes :func:`fold_width`, which has the
+    same effect there.  The others are handed over as NULL.  The function is
+    declared non-deterministic so that a filter on its result does not make
+    Spark evaluate it a second time below the projection.
     """
     composed = F.arrow_udf(_nfkc, "string").asNondeterministic()
-    return F.coalesce(composed(F.when(~text.rlike(_ALL_STABLE), text)), text)
+    return F.coalesce(composed(F.when(~text.rlike(_FOLDABLE), text)), fold_width(text))
 
 
 def strip_symbols(text: Column) -> Column:
@@ -164,8 +168,8 @@ def squeeze_space(text: Column) -> Column:
 
 
 def clean_text(text: Column, strip_emoji: bool = True) -> Column:
-    """Width folding, NFKC, optional emoji removal, white-space squeeze."""
-    text = compose_compat(fold_width(text))
+    """Width folding and NFKC in one, optional emoji removal, white-space squeeze."""
+    text = compose_compat(text)
     return squeeze_space(strip_symbols(text) if strip_emoji else text)
 
 

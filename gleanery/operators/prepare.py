@@ -5,30 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.functions.text import (
-    compose_compat,
-    fold_width,
-    has_script,
-    squeeze_space,
-    strip_space,
-    strip_symbols,
-)
+from gleanery.functions.text import clean_text, has_script, strip_space
 from gleanery.params import CleaningParams
 from gleanery.schemas import UNLABELED
 
 
-def cleaned(rows: DataFrame, source: str = "content", into: str = "text", strip_emoji: bool = True) -> DataFrame:
-    """*rows* with the cleaned *source* column added as *into*.
-
-    The steps are separate projections, so that the folded text is computed
-    once and not again on either side of the Python step.
-    """
-    rows = rows.withColumn(into, fold_width(F.col(source)))
-    rows = rows.withColumn(into, compose_compat(F.col(into)))
-    text = strip_symbols(F.col(into)) if strip_emoji else F.col(into)
-    return rows.withColumn(into, squeeze_space(text))
-
-
 def prepare(reviews: DataFrame, params: CleaningParams = CleaningParams()) -> DataFrame:
     """Unlabeled rows ``reviewId, platform, text, primary, secondary``.
 
@@ -37,7 +18,7 @@ def prepare(reviews: DataFrame, params: CleaningParams = CleaningParams()) -> Da
     """
     rows = reviews.select("reviewId", "platform", F.col("content").cast("string").alias("content"))
     rows = rows.filter((F.col("content") != "") & (strip_space(F.col("content")) != ""))
-    rows = cleaned(rows, strip_emoji=params.strip_emoji)
+    rows = rows.select("reviewId", "platform", clean_text(F.col("content"), params.strip_emoji).alias("text"))
 
     def wanted(text):
         return (F.length(text) >= params.min_length) & has_script(text, params.min_script_chars, params.script)

@@ -34,7 +34,7 @@ from gleanery.operators.ordering import top_recent, with_dense_index
 from gleanery.operators.prepare import prepare
 from gleanery.operators.split import split_counts, split_quotas, stratified_split
 from gleanery.operators.validation import repair, validate, validation_report
-from gleanery.params import CleaningParams, FeedParams, LabelingParams, LabelRules, SplitParams
+from gleanery.params import CleaningParams, FeedParams, LabelingParams, LabelRules
 from gleanery.plans import inputs
 from gleanery.plans.flow import FlowParams, run_all
 from gleanery.schemas import (
@@ -491,10 +491,10 @@ SELECT app_id, CAST(count(*) AS BIGINT) AS n_pages, CAST(sum(CAST(broken AS INTE
        CAST(sum(CASE WHEN broken THEN 0 ELSE n_ok END) AS BIGINT) AS n_reviews FROM stats GROUP BY ALL"""
 )
 def landed_pages_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages written out and scanned from where they landed."""
+    """Pages written out as JSON lines and scanned from where they landed."""
     path = scratch_path(spark, "pages")
-    inputs.feed_pages(spark, sf_dir).write.parquet(path)
-    stats = page_stats(scan_pages(spark, path))
+    inputs.feed_pages(spark, sf_dir).write.json(path)
+    stats = page_stats(scan_pages(spark, path, "json"))
     return stats.groupBy("app_id").agg(
         F.count(F.lit(1)).alias("n_pages"),
         F.count_if(F.coalesce(F.col("n_entries"), F.lit(0)) <= 1).alias("n_bad"),
@@ -574,7 +574,6 @@ _FLOW = FlowParams(
     feed=FeedParams(review_count=None),
     cleaning=CleaningParams(min_length=5),
     rules=inputs.MIXED_RULES,
-    split=SplitParams(on_small_class="train"),
     export=False,
 )
 _MIXED_RULES = _rule_sql("text", inputs.MIXED_RULES)

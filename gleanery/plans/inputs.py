@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from gleanery.params import LabelRules
 from gleanery.schemas import APP_STORE, GOOGLE_PLAY
+from gleanery.sources.readers import spread
+from gleanery.sources.scratch import written
 
 #: Letters replaced to get ideographs, full-width forms, an emoji, wide space,
 #: a half-width kana and a circled digit into the texts.
@@ -36,14 +38,15 @@ MIXED_RULES = LabelRules(
         ("UI/UX", "[0-9]{3}"),
         ("PERFORMANCE", "wh"),
         ("FEATURE_REQUEST", "q"),
-        ("POSITIVE", "i"),
+        ("POSITIVE", "h"),
     ),
     area=(("ACCOUNT", "w"), ("TRANSACTION", "ch"), ("CREDIT_CARD", "qm|mm")),
 )
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spread(spark.read.parquet(path), path)
 
 
 def _pick(values: list[str | None], at: Column) -> Column:
@@ -69,7 +72,8 @@ def mixed(text: Column) -> Column:
 
 
 def reviews_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reviews(spark, sf_dir).withColumn("content", mixed(F.col("content")))
+    """Reviews in mixed script, stored, as reviews would be."""
+    return written(reviews(spark, sf_dir).withColumn("content", mixed(F.col("content"))), "mixed")
 
 
 def record_dump(rows: DataFrame) -> DataFrame:
@@ -145,7 +149,8 @@ def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((F.col("app") % 4 == 2) & (F.col("page") == 4), '{"feed":{}}')
         .otherwise(F.col("body"))
     )
-    return pages.select(F.col("app").cast("string").alias("app_id"), F.lit("tw").alias("country"), "page", body.alias("body"))
+    pages = pages.select(F.col("app").cast("string").alias("app_id"), F.lit("tw").alias("country"), "page", body.alias("body"))
+    return written(pages, "pages")
 
 
 def whole_feed(rows: DataFrame) -> DataFrame:
@@ -158,7 +163,7 @@ def whole_feed(rows: DataFrame) -> DataFrame:
         d.alias("pos"),
         _entry(F.col("rating").cast("string"), F.replace(F.col("date"), F.lit(" "), F.lit("T"))).alias("entry"),
     )
-    return _bodies(entries, ["app_id", "country", "page"])
+    return written(_bodies(entries, ["app_id", "country", "page"]), "pages")
 
 
 def labels_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:

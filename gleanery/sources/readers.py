@@ -33,6 +33,22 @@ def _ordered(rows: DataFrame, ordered: bool) -> DataFrame:
     return rows.select("*", source_order().alias("src_order")) if ordered else rows
 
 
+def spread(rows: DataFrame, path: str) -> DataFrame:
+    """*rows* of a table at *path*, over all cores if the table is small.
+
+    Files below the size of one scan task are read by a single task, and text
+    work is heavy per row, so their rows are dealt out again.  Larger tables are
+    scanned by many tasks as they are, without a shuffle.
+    """
+    spark = rows.sparkSession
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    one_task = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("bB"))
+    if files.getContentSummary(target).getLength() >= one_task:
+        return rows
+    return rows.repartition(spark.sparkContext.defaultParallelism)
+
+
 def all_text(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
