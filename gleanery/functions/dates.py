@@ -31,6 +31,6 @@ def wall_clock(value: Column) -> Column:
 
 def clock_text(value: Column, kind: T.DataType) -> Column:
     """A date column of any type in the export form, bad values to NULL."""
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+    if isinstance(kind, T.TimestampType):
         return F.date_format(value, WALL_CLOCK)
     return wall_clock(value.cast("string"))

@@ -196,13 +196,14 @@ def legacy_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
        ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS clock FROM events"""
 )
 def date_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ts, way = F.col("ts").cast("timestamp_ntz"), F.col("event_id") % 5
+    way = F.col("event_id") % 5
+    day, time = (F.substring(F.col("ts").cast("timestamp_ntz").cast("string"), at, n) for at, n in ((1, 10), (12, 8)))
     written = (
-        F.when(way == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-        .when(way == 1, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'+08:00'"))
-        .when(way == 2, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
-        .when(way == 3, F.date_format(ts, "yyyy-MM-dd"))
-        .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss' o''clock'"))
+        F.when(way == 0, F.concat(day, F.lit("T"), time, F.lit("Z")))
+        .when(way == 1, F.concat(day, F.lit("T"), time, F.lit(".125+08:00")))
+        .when(way == 2, F.concat(day, F.lit(" "), time))
+        .when(way == 3, day)
+        .otherwise(F.concat(day, F.lit("T"), time, F.lit(" o'clock")))
     )
     return inputs.table(spark, sf_dir, "events").select("event_id", wall_clock(written).alias("clock"))
 

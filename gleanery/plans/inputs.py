@@ -62,7 +62,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.md5("text").alias("reviewId"),
         F.concat(F.lit("user_"), (d % 97).cast("string")).alias("userName"),
         (d % 5 + 1).cast("int").alias("rating"),
-        F.date_format(F.timestamp_add("HOUR", d, F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")), "yyyy-MM-dd HH:mm:ss").alias("date"),
+        F.timestamp_add("HOUR", d, F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")).cast("string").alias("date"),
         F.col("text").alias("content"),
     )
 
