@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,9 +14,6 @@ from gleanery.schemas import FEED_PAGE, LABELED, UNIFIED
 
 Paths = str | list[str]
 
-#: Column that keeps the text of a record the reader could not parse.
-BAD_RECORD = "_bad_record"
-
 
 def source_order() -> Column:
     """Where a row stands in its files: path, block start, position in the task.
@@ -49,10 +48,6 @@ def spread(rows: DataFrame, path: str) -> DataFrame:
     return rows.repartition(spark.sparkContext.defaultParallelism)
 
 
-def all_text(names: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-
-
 def scan_csv(
     spark: SparkSession,
     path: Paths,
@@ -114,16 +109,16 @@ def scan_json(
 def scan_records(
     spark: SparkSession, path: Paths, schema: T.StructType, file_format: str = "json", ordered: bool = True
 ) -> DataFrame:
-    """A landed record dump: JSON lines, CSV or parquet, newest first."""
+    """A landed record dump, newest first: JSON lines, CSV or parquet.
+
+    JSON lines that cannot be parsed are dropped.
+    """
     if file_format == "csv":
         return scan_csv(spark, path, schema, ordered=ordered)
-    reader = spark.read.schema(schema)
+    reader = spark.read.schema(schema).format(file_format)
     if file_format == "json":
-        kept = T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType(), True)])
-        rows = spark.read.schema(kept).option("columnNameOfCorruptRecord", BAD_RECORD).json(path)
-        rows = rows.select("*", source_order().alias("src_order")) if ordered else rows
-        return rows.filter(F.col(BAD_RECORD).isNull()).drop(BAD_RECORD)
-    return _ordered(reader.format(file_format).load(path), ordered)
+        reader = reader.option("mode", "DROPMALFORMED")
+    return _ordered(reader.load(path), ordered)
 
 
 def scan_pages(spark: SparkSession, path: Paths, file_format: str = "parquet") -> DataFrame:
@@ -133,13 +128,9 @@ def scan_pages(spark: SparkSession, path: Paths, file_format: str = "parquet") -
 
 def scan_page_files(spark: SparkSession, path: Paths) -> DataFrame:
     """Feed pages landed one file each under ``app_id=/country=/page=`` folders."""
-    rows = spark.read.text(path, wholetext=True)
-    return rows.select(
-        F.col("app_id").cast("string").alias("app_id"),
-        F.col("country").cast("string").alias("country"),
-        F.col("page").cast("int").alias("page"),
-        F.col("value").alias("body"),
-    )
+    schema = "value string, app_id string, country string, page int"
+    rows = spark.read.schema(schema).text(path, wholetext=True)
+    return rows.select("app_id", "country", "page", F.col("value").alias("body"))
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -154,10 +145,6 @@ def source_or_empty(
     Opening covers listing and schema, not bad records inside: those are the
     reader's to keep or drop.
     """
-    import logging
-
-    from pyspark.errors import PySparkException
-
     if read is None:
         return empty(spark, schema)
     try:

@@ -12,12 +12,12 @@ _SETTING = "spark.checkpoint.dir"
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the session names; a temporary one only in local mode."""
-    root = spark.conf.get(_SETTING, None)
+    root = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="gleanery-")
-        spark.conf.set(_SETTING, root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gleanery-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 
