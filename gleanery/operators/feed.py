@@ -131,7 +131,7 @@ def flatten_feed(pages: DataFrame, params: FeedParams = FeedParams(), keys: Sequ
     if params.max_pages is not None:
         pages = pages.filter(F.col("page") <= params.max_pages)
     capped = params.review_count is not None
-    stats = written(page_stats(pages, keys, capped), "page-stats")
+    stats = written(page_stats(pages, keys, capped), "page-stats", compact=True)
     limits = last_pages(stats, keys)
     if capped:
         usable = stats.join(limits, list(keys)).filter(F.col("page").between(1, F.col("last_page")))

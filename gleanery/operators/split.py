@@ -71,7 +71,8 @@ def stratified_split(rows: DataFrame, id_col: str, params: SplitParams = SplitPa
     test rows, exactly as many as its quota.  The cut is found on ids and
     classes alone: counts per hash prefix give the prefix it falls into, and
     only that prefix is ranked.  The rows themselves are then compared with
-    their class's cut where they lie, without a shuffle.  Ids must be unique.
+    their class's cut where they lie, without a shuffle.  Ids should be unique;
+    rows that share one are never torn apart.
     """
     by = params.by
     _check_column(rows, by)
@@ -88,8 +89,11 @@ def stratified_split(rows: DataFrame, id_col: str, params: SplitParams = SplitPa
         (F.col("before") < F.col("n_test")) & (F.col("n_test") <= F.col("upto"))
     )
     edges = written(edges.select("_by", "_b", (F.col("n_test") - F.col("before")).alias("rank")), "edges")
-    place = F.row_number().over(Window.partitionBy("_by").orderBy("_h", F.asc_nulls_first("_id")))
-    cuts = keys.join(edges, ["_by", "_b"]).withColumn("_place", place).filter(F.col("_place") == F.col("rank"))
+    # One row per id, so that an id on many rows is no heavy group; such rows
+    # stay on one side, which may then exceed its quota.
+    near = keys.join(edges, ["_by", "_b"]).groupBy("_by", "rank", "_h", "_id").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("_by").orderBy("_h", F.asc_nulls_first("_id")))
+    cuts = near.withColumn("_upto", upto).filter(F.col("rank").between(F.col("_upto") - F.col("n") + 1, F.col("_upto")))
     cuts = written(cuts.select("_by", F.col("_h").alias("_cut_h"), F.col("_id").alias("_cut_id")), "cuts")
 
     h, id_ = split_hash(F.col(id_col), params.seed), F.col(id_col)

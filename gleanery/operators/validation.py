@@ -83,6 +83,7 @@ def repair(
     inputs: Sequence[str] = ("text",),
     sanitise: bool = True,
     samples: int = 10,
+    parallelism: int | None = None,
     sleep: Callable[[float], None] = time.sleep,
 ) -> Repaired:
     """Relabel invalid rows until none is left or ``max_rounds`` is reached.
@@ -90,10 +91,11 @@ def repair(
     Only the invalid rows are read again, each round's from a table written by
     the round before; valid rows are passed on untouched.  A row without any
     text is set to the fallback labels and not sent to the labeler.  *rows* is
-    read more than once and should be a stored table.
+    read more than once and should be a stored table.  *parallelism* is the
+    number of concurrent calls of a user's labeler.
     """
     log = logging.getLogger("gleanery")
-    invalid = written(rows.filter(~valid_labels()), "invalid")
+    invalid = written(rows.filter(~valid_labels()), "invalid", compact=True)
     settled = [rows.filter(valid_labels())]
     rounds: list[tuple[int, int, int, int]] = []
     for turn in range(1, params.max_rounds + 1):
@@ -107,6 +109,8 @@ def repair(
         if samples and log.isEnabledFor(logging.DEBUG):
             for sample in invalid.limit(samples).collect():
                 log.debug("invalid row: %s", sample)
+        if callable(labeler) and parallelism:
+            invalid = invalid.repartition(parallelism)
         relabeled = _relabel(invalid, labeler, params, rules, inputs, sanitise, sleep)
         relabeled = written(relabeled, "relabeled")
         settled.append(relabeled.filter(valid_labels()))

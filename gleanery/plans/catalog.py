@@ -597,7 +597,7 @@ SELECT 'google_play' AS artefact, count(*) AS n_rows FROM reviews WHERE platform
 UNION ALL SELECT 'app_store', count(*) FROM reviews WHERE platform = 'app_store'
 UNION ALL SELECT 'merged', count(*) FROM merged UNION ALL SELECT 'unlabeled', count(*) FROM unlabeled
 UNION ALL SELECT 'labeled', count(*) FROM labeled UNION ALL SELECT 'fixed', count(*) FROM labeled
-UNION ALL SELECT split, count(*) FROM assigned GROUP BY ALL"""
+UNION ALL SELECT split || '_json', count(*) FROM assigned GROUP BY ALL"""
 )
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir).manifest().select("artefact", "n_rows")

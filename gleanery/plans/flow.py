@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from gleanery.operators.align import merge_reviews, normalise_records
+from gleanery.operators.align import ORDER, merge_reviews, normalise_records
 from gleanery.operators.feed import flatten_feed
 from gleanery.operators.labeling import RULES, Labeler, label
 from gleanery.operators.prepare import prepare
@@ -24,7 +25,7 @@ class FlowParams:
     rules: LabelRules = field(default_factory=LabelRules)
     split: SplitParams = field(default_factory=SplitParams)
     validate: bool = True
-    #: Also write the merged table as CSV and the labeled ones as JSON lines.
+    #: Also write the raw and merged tables as CSV, the later ones as JSON lines.
     export: bool = True
 
 
@@ -35,18 +36,19 @@ def run_land(
     params: FlowParams = FlowParams(),
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """Raw tables of both platforms, stored; a source without rows leaves none."""
-    google = app_store = None
-    if records is not None:
-        google = out.store("google_play", normalise_records(records))
-    if pages is not None:
-        app_store = out.store("app_store", flatten_feed(pages, params.feed))
-    for name in ("google_play", "app_store"):
-        if out.rows.get(name) == 0:
-            del out.paths[name], out.rows[name]
-    return (
-        google if "google_play" in out.paths else None,
-        app_store if "app_store" in out.paths else None,
-    )
+    landed: list[DataFrame | None] = []
+    for name, rows in (
+        ("google_play", None if records is None else normalise_records(records)),
+        ("app_store", None if pages is None else flatten_feed(pages, params.feed)),
+    ):
+        table = None if rows is None else out.store(name, rows)
+        if table is not None and not out.rows[name]:
+            out.forget(name)
+            table = None
+        if table is not None and params.export:
+            out.store(f"{name}_csv", table.drop(ORDER), "csv")
+        landed.append(table)
+    return landed[0], landed[1]
 
 
 def run_merge(
@@ -83,7 +85,7 @@ def run_labeling(
     """Labeled rows, and the repaired ones unless validation is off or nothing is there."""
     path = out.path("labeled")
     labeled = label(unlabeled, labeler, params.labeling, params.rules, path=path)
-    out.paths["labeled"], out.rows["labeled"] = path, labeled.count()  # from parquet footers
+    out.note("labeled", path, labeled.count())  # from parquet footers
     if export:
         out.store("labeled_json", labeled, "json")
     fixed = None
@@ -97,15 +99,14 @@ def run_labeling(
 def run_split(out: Artefacts, labeled: DataFrame, id_col: str = "reviewId", params: SplitParams = SplitParams()) -> DataFrame:
     """Labeled rows with their ``split``, stored in one pass as JSON per side."""
     split = stratified_split(labeled, id_col, params)
+    sides, counted = ("train", "test"), Observation("sides")
+    split = split.observe(counted, *[F.count_if(F.col("split") == side).alias(side) for side in sides])
     out.store("split", split, "split")
-    path = out.paths.pop("split")
-    out.rows.pop("split")
-    stored = out.spark.read.schema(split.schema).json(path)
-    counts = dict(stored.groupBy("split").count().collect())  # two rows
-    for side in ("train", "test"):
-        if side in counts:
-            out.paths[side], out.rows[side] = f"{path}/split={side}", counts[side]
-    return stored
+    path = out.forget("split")
+    for side in sides:
+        if counted.get[side]:
+            out.note(f"{side}_json", f"{path}/split={side}", counted.get[side])
+    return out.spark.read.schema(split.schema).json(path)
 
 
 def run_all(

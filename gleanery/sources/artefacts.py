@@ -77,12 +77,20 @@ class Artefacts:
             write_split(seen, path)
         else:
             raise ValueError(f"unknown format {file_format!r}")
-        self.paths[name] = path
-        self.rows[name] = counted.get["n"]
+        self.note(name, path, counted.get["n"])
         if file_format == "parquet":
             return self.spark.read.schema(rows.schema).parquet(path)
         return rows
 
+    def note(self, name: str, path: str, n_rows: int) -> None:
+        """Enter an artefact in the manifest."""
+        self.paths[name], self.rows[name] = path, n_rows
+
+    def forget(self, name: str) -> str:
+        """Take an artefact out of the manifest; its path."""
+        del self.rows[name]
+        return self.paths.pop(name)
+
     def manifest(self) -> DataFrame:
         """``artefact, path, n_rows`` of everything stored; what is absent has no row."""
         found = [(name, path, self.rows[name]) for name, path in self.paths.items()]

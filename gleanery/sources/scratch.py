@@ -30,9 +30,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def written(rows: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """*rows* written once as parquet and read back."""
+def written(rows: DataFrame, name: str, path: str | None = None, compact: bool = False) -> DataFrame:
+    """*rows* written once as parquet and read back.
+
+    *compact* is for little data out of many tasks: it is gathered into few
+    files, instead of one tiny file per task.
+    """
     spark = rows.sparkSession
     path = path or scratch_path(spark, name)
-    rows.write.mode("overwrite").parquet(path)
+    (rows.hint("rebalance") if compact else rows).write.mode("overwrite").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)

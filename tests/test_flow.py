@@ -42,15 +42,15 @@ def test_whole_run(spark, tmp_path):
     records, pages = sources(spark, tmp_path)
     out = run_all(spark, str(tmp_path / "out"), records, pages, "rules", PARAMS, "r1")
     assert out.rows == {
-        "google_play": 42, "app_store": 21, "merged": 61, "merged_csv": 61, "unlabeled": 60, "unlabeled_json": 60,
-        "labeled": 60, "labeled_json": 60, "fixed": 60, "fixed_json": 60, "train": 45, "test": 15,
+        "google_play": 42, "google_play_csv": 42, "app_store": 21, "app_store_csv": 21, "merged": 61, "merged_csv": 61, "unlabeled": 60, "unlabeled_json": 60,
+        "labeled": 60, "labeled_json": 60, "fixed": 60, "fixed_json": 60, "train_json": 45, "test_json": 15,
     }
     assert {r["artefact"] for r in out.manifest().collect()} == set(out.rows)
     assert all(p.startswith(str(tmp_path / "out")) and "run_id=r1" in p for p in out.paths.values())
     assert scan_merged(spark, out.paths["merged_csv"]).count() == 61
     labeled = {r["reviewId"]: (r["text"], r["primary"]) for r in scan_json(spark, out.paths["labeled_json"]).collect()}
     assert labeled["g0"] == ("閃退了!0", "BUG") and labeled["g1"] == ("介面很醜!1", "UI/UX") and labeled["a4"] == ("很好用 4", "POSITIVE")
-    sides = [spark.read.schema(LABELED).json(out.paths[s]).select("reviewId") for s in ("train", "test")]
+    sides = [spark.read.schema(LABELED).json(out.paths[s]).select("reviewId") for s in ("train_json", "test_json")]
     assert sides[0].intersect(sides[1]).isEmpty() and sides[0].union(sides[1]).distinct().count() == 60
 
 
@@ -62,8 +62,8 @@ def test_one_source_and_own_labeler(spark, tmp_path):
 
     plain = FlowParams(cleaning=PARAMS.cleaning, labeling=PARAMS.labeling, split=PARAMS.split, validate=False, export=False)
     out = run_all(spark, str(tmp_path / "out"), records, None, labeler, plain)
-    assert set(out.rows) == {"google_play", "merged", "unlabeled", "labeled", "train", "test"}
-    assert out.rows["train"] + out.rows["test"] == 40
+    assert set(out.rows) == {"google_play", "merged", "unlabeled", "labeled", "train_json", "test_json"}
+    assert out.rows["train_json"] + out.rows["test_json"] == 40
 
 
 def test_stages_alone(spark, tmp_path):
@@ -77,3 +77,27 @@ def test_stages_alone(spark, tmp_path):
         run_split(out, label(empty.selectExpr("reviewId", "content AS text"), "rules"))
     with pytest.raises(ValueError, match="empty"):  # nothing landed, nothing to split
         run_all(spark, str(tmp_path / "none"), params=PARAMS)
+
+
+def test_job_stages(spark, tmp_path):
+    """The stages chained through the command line, as the whole run does it."""
+    from gleanery.__main__ import arguments, run
+
+    _, pages = sources(spark, tmp_path)
+    pages.write.parquet(str(tmp_path / "pages"))
+    common = ["--out", str(tmp_path / "out"), "--run-id", "r", "--min-length", "2", "--test-size", "0.25"]
+
+    def stage(*args):
+        return run(spark, arguments([args[0], *common, *map(str, args[1:])]))
+
+    landed = stage("land", "--records", tmp_path / "dump.json", "--pages", tmp_path / "pages")
+    assert set(landed) == {"google_play", "google_play_csv", "app_store", "app_store_csv"}
+    merged = stage("merge", "--google", landed["google_play"], "--app-store", landed["app_store"])
+    prepared = stage("prepare", "--table", merged["merged"])
+    labeled = stage("label", "--table", prepared["unlabeled"])
+    done = stage("split", "--table", labeled["fixed"])
+    assert spark.read.json(done["train_json"]).count() == 45
+    whole = run(spark, arguments(["run-all", "--out", str(tmp_path / "all"), "--pages", str(tmp_path / "pages"), "--no-export"]))
+    assert set(whole) == {"app_store", "merged", "unlabeled", "labeled", "fixed", "train_json", "test_json"}
+    with pytest.raises(ValueError, match="--table"):
+        stage("split")

@@ -71,6 +71,13 @@ def test_null_and_empty_ids(spark):
         assert counts == {"train": 2, "test": 2}
 
 
+def test_rows_of_one_id_stay_together(spark):
+    df = spark.range(300).select(F.when(F.col("id") < 100, "hot").otherwise(F.col("id").cast("string")).alias("id"), F.lit("A").alias("primary"))
+    for seed in range(4):
+        rows = stratified_split(df, "id", SplitParams(seed=seed)).groupBy("id").agg(F.count_distinct("split").alias("sides"), F.count("*").alias("n")).collect()
+        assert {r["sides"] for r in rows} == {1} and sum(r["n"] for r in rows) == 300
+
+
 def test_numeric_ids_and_other_column(spark):
     df = spark.range(100).select("id", (F.col("id") % 2).alias("kind"), F.lit("x").alias("text"))
     out = stratified_split(df, "id", SplitParams(by="kind"))
