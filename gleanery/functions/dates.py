@@ -21,12 +21,12 @@ def wall_clock(value: Column) -> Column:
     The clock reading is kept as written: an offset or ``Z`` is dropped, never
     applied, so the result does not depend on the session time zone.
     """
-    text = F.trim(value)
-    time = F.regexp_extract(text, r"^.{10}[T ]([\d:]+)", 1)
-    padded = F.concat(time, F.substring(F.lit("00:00:00"), F.length(time) + 1, F.lit(8)))
-    stamp = F.concat(F.substring(text, 1, 10), F.lit(" "), padded)
-    real = text.rlike(_ISO) & stamp.try_cast("timestamp_ntz").isNotNull()
-    return F.when(real, stamp)
+    short = F.regexp_extract(value, r"^.{10}[T ]([\d:]+)", 1)
+    padded = F.concat(short, F.substring(F.lit("00:00:00"), F.length(short) + 1, F.lit(8)))
+    has_seconds = F.substring(value, 17, 1) == ":"
+    time = F.when(has_seconds, F.substring(value, 12, 8)).otherwise(padded)
+    stamp = F.concat(F.substring(value, 1, 10), F.lit(" "), time)
+    return F.when(value.rlike(_ISO), stamp.try_cast("timestamp_ntz").cast("string"))
 
 
 def clock_text(value: Column, kind: T.DataType) -> Column:

@@ -18,6 +18,22 @@ FEED = ("app_id", "country")
 _BLOCK = 1024  # pages per step of the running total
 _ALL = 2**30  # longer than any array
 
+# Where each text of an entry stands, and what it is when absent.
+_PARTS = {
+    "reviewId": ("$.id.label", ""),
+    "userName": ("$.author.name.label", "Unknown"),
+    "rating": ("$['im:rating'].label", "0"),
+    "updated": ("$.updated.label", ""),
+    "title": ("$.title.label", ""),
+    "review": ("$.content.label", ""),
+}
+#: An entry with everything in place, read in one go.
+_REGULAR = (
+    "struct<author: struct<name: struct<label: string>>, content: struct<label: string>, "
+    "`im:rating`: struct<label: string>, title: struct<label: string>, id: struct<label: string>, "
+    "updated: struct<label: string>>"
+)
+
 
 def feed_entries(body: Column) -> Column:
     """``array<variant>`` of a page's entries, head entry included.
@@ -27,12 +43,9 @@ def feed_entries(body: Column) -> Column:
     return F.try_variant_get(F.try_parse_json(body), "$.feed.entry", "array<variant>")
 
 
-def parse_entry(entry: Column) -> Column:
-    """A review struct of one entry, NULL if it cannot be read.
-
-    Absent parts take defaults.  A part that is present but not an object
-    spoils the entry, and so do an unreadable rating or date.
-    """
+def _leaves(entry: Column) -> Column:
+    """Texts of an irregular entry: absent parts take defaults, a part that is
+    present but no object spoils the entry and gives NULL."""
 
     def node(path: str) -> Column:
         return F.try_variant_get(entry, path, "variant")
@@ -43,35 +56,50 @@ def parse_entry(entry: Column) -> Column:
     def leaf(path: str, default: str) -> Column:
         return F.when(node(path).isNull(), default).otherwise(F.try_variant_get(entry, path, "string"))
 
-    rating = strip_space(leaf("$['im:rating'].label", "0"))
-    rating = F.when(rating.rlike(r"^[+-]?\d+$"), rating.try_cast("int"))
-    stamp = wall_clock(leaf("$.updated.label", ""))
-    objects = ("$", "$.author", "$.author.name", "$.content", "$['im:rating']", "$.title", "$.id", "$.updated")
-    bad = spoiled(objects[0])
-    for path in objects[1:]:
+    bad = spoiled("$")
+    for path in sorted({path.rpartition(".")[0] for path, _ in _PARTS.values()} | {"$.author"}):
         bad = bad | spoiled(path)
-    review = F.struct(
-        leaf("$.id.label", "").alias("reviewId"),
-        leaf("$.author.name.label", "Unknown").alias("userName"),
-        rating.alias("rating"),
-        stamp.alias("date"),
-        leaf("$.title.label", "").alias("title"),
-        leaf("$.content.label", "").alias("review"),
-        F.lit(False).alias("isEdited"),
-    )
-    return F.when(~bad & rating.isNotNull() & stamp.isNotNull(), review)
+    return F.when(~bad, F.struct(*[leaf(*part).alias(name) for name, part in _PARTS.items()]))
 
 
 def page_reviews(entries: Column) -> Column:
-    """Readable reviews among a page's entries, in page order, as structs with ``pos``.
+    """Readable reviews among a page's entries, in page order.
 
-    The head entry describes the app and is left out.
+    ``array<struct<pos, rating, date, text>>``; the head entry describes the app
+    and is left out, as are entries whose rating or date cannot be read.  Each
+    step hands its values on to the next, so that none is worked out twice.
     """
-    reviews = F.transform(
+    typed = F.transform(
         F.slice(entries, 2, _ALL),
-        lambda entry, at: F.struct((at + 1).alias("pos"), parse_entry(entry).alias("review")),
+        lambda entry, at: F.struct(
+            (at + 1).alias("pos"), entry.alias("entry"), F.try_variant_get(entry, "$", _REGULAR).alias("typed")
+        ),
     )
-    return F.filter(reviews, lambda r: r["review"].isNotNull())
+
+    def texts(r: Column) -> Column:
+        parts = {name: _typed_leaf(r["typed"], path) for name, (path, _) in _PARTS.items()}
+        regular = parts["reviewId"].isNotNull()
+        for leaf in list(parts.values())[1:]:
+            regular = regular & leaf.isNotNull()
+        plain = F.struct(*[leaf.alias(name) for name, leaf in parts.items()])
+        return F.struct(r["pos"].alias("pos"), F.when(regular, plain).otherwise(_leaves(r["entry"])).alias("text"))
+
+    def values(r: Column) -> Column:
+        return F.struct(
+            r["pos"].alias("pos"),
+            strip_space(r["text"]["rating"]).try_cast("int").alias("rating"),
+            wall_clock(r["text"]["updated"]).alias("date"),
+            r["text"].alias("text"),
+        )
+
+    reviews = F.transform(F.transform(typed, texts), values)
+    return F.filter(reviews, lambda r: r["rating"].isNotNull() & r["date"].isNotNull())
+
+
+def _typed_leaf(typed: Column, path: str) -> Column:
+    for key in path.replace("['", ".").replace("']", "").split(".")[1:]:
+        typed = typed.getField(key)
+    return typed
 
 
 def page_stats(pages: DataFrame, keys: Sequence[str] = FEED, count_reviews: bool = True) -> DataFrame:
@@ -149,6 +177,12 @@ def flatten_feed(pages: DataFrame, params: FeedParams = FeedParams(), keys: Sequ
     order = F.struct(
         F.concat_ws("/", *keys).alias("source"), F.col("page").cast("long").alias("block"), F.col("r.pos").cast("long").alias("row")
     )
+    text = {name: F.col(f"r.text.{name}") for name in ("reviewId", "userName", "title", "review")}
+    values = {**text, "rating": F.col("r.rating"), "date": F.col("r.date"), "isEdited": F.lit(False)}
     return rows.select(
-        *keys, "page", F.col("r.pos").alias("pos"), *[f"r.review.{c}" for c in APP_STORE_RAW.names], order.alias("src_order")
+        *keys,
+        "page",
+        F.col("r.pos").alias("pos"),
+        *[values[name].alias(name) for name in APP_STORE_RAW.names],
+        order.alias("src_order"),
     )
