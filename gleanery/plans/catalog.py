@@ -55,12 +55,12 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str) -> Callable[[Query], Query]:
-    """Register a function under its name, together with its SQL."""
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its own or another name, together with its SQL."""
 
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        SQL[function.__name__] = sql
+        key = name or function.__name__
+        QUERIES[key], SQL[key] = function, sql
         return function
 
     return register
@@ -430,7 +430,7 @@ def split_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stratified_split(inputs.strata(spark, sf_dir), "doc_id")
 
 
-@query(f"""{_SPLIT} SELECT split, "primary", count(*) AS n FROM assigned GROUP BY ALL""")
+@query(f"""{_SPLIT} SELECT split, "primary", count(*) AS n FROM assigned GROUP BY ALL""", "split_counts")
 def split_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_counts(stratified_split(inputs.strata(spark, sf_dir), "doc_id"))
 
@@ -505,7 +505,8 @@ def landed_pages_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """WITH keys AS (SELECT unnest(json_keys(props)) AS key FROM events)
-SELECT key, 'BIGINT' AS type, count(*) AS n FROM keys GROUP BY ALL"""
+SELECT key, 'BIGINT' AS type, count(*) AS n FROM keys GROUP BY ALL""",
+    "json_key_profile",
 )
 def json_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_key_profile(inputs.table(spark, sf_dir, "events"), "props")

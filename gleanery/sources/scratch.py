@@ -22,12 +22,13 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the scratch root, deleted when the session ends."""
-    path = f"{scratch_root(spark)}/gleanery/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return path
+    """A new path in this application's scratch folder, which goes when the session ends."""
+    folder = f"{scratch_root(spark)}/gleanery/{spark.sparkContext.applicationId}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    files.deleteOnExit(target)  # takes only what exists
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def written(rows: DataFrame, name: str, path: str | None = None, compact: bool = False) -> DataFrame:
