@@ -42,7 +42,10 @@ def rule_labels(text: Column, rules: LabelRules = LabelRules()) -> tuple[Column,
     The nature is the most severe one that matches.  The area is the one that
     matches, if it is the only one; otherwise the text is ambiguous there.
     """
-    lowered = F.lower(F.coalesce(text, F.lit("")))
+    return _lowered_rules(F.lower(F.coalesce(text, F.lit(""))), rules)
+
+
+def _lowered_rules(lowered: Column, rules: LabelRules) -> tuple[Column, Column]:
     nature = F.lit(rules.primary_fallback)
     for label, pattern in reversed(rules.nature):
         nature = F.when(lowered.rlike(pattern), label).otherwise(nature)
@@ -157,8 +160,11 @@ def with_labels(
     if isinstance(labeler, str):
         if labeler != RULES:
             raise ValueError(f"unknown labeler {labeler!r}; use {RULES!r} or a function")
-        primary, secondary = rule_labels(F.col("text"), rules)
-        new = rows.withColumn("_new", F.when(wanted, F.struct(primary.alias("primary"), secondary.alias("secondary"))))
+        # Lower-cased once, as a column of its own, for all the patterns.
+        primary, secondary = _lowered_rules(F.col("_lowered"), rules)
+        new = rows.withColumn("_lowered", F.when(wanted, F.lower(F.coalesce(F.col("text"), F.lit("")))))
+        new = new.withColumn("_new", F.when(wanted, F.struct(primary.alias("primary"), secondary.alias("secondary"))))
+        new = new.drop("_lowered")
     else:
         new = rows.withColumn("_new", labeler_column(labeler, wanted, inputs, params, pause, sleep))
     primary, secondary = F.col("_new.primary"), F.col("_new.secondary")

@@ -88,14 +88,14 @@ def repair(
 ) -> Repaired:
     """Relabel invalid rows until none is left or ``max_rounds`` is reached.
 
-    Only the invalid rows are read again, each round's from a table written by
-    the round before; valid rows are passed on untouched.  A row without any
-    text is set to the fallback labels and not sent to the labeler.  *rows* is
-    read more than once and should be a stored table.  *parallelism* is the
-    number of concurrent calls of a user's labeler.
+    Only the invalid rows are read whole, each round's from a stored table;
+    valid rows are passed on untouched.  A row without any text is set to the
+    fallback labels and not sent to the labeler.  *rows* is read more than once
+    and should be a stored table.  *parallelism* is the number of concurrent
+    calls of a user's labeler.
     """
     log = logging.getLogger("gleanery")
-    invalid = written(rows.filter(~valid_labels()), "invalid", compact=True)
+    invalid = rows.filter(~valid_labels())  # counting these reads the labels only
     settled = [rows.filter(valid_labels())]
     rounds: list[tuple[int, int, int, int]] = []
     for turn in range(1, params.max_rounds + 1):
@@ -106,6 +106,8 @@ def repair(
         if not n:
             break
         log.warning("validation round %d: %d invalid rows", turn, n)
+        if turn == 1:
+            invalid = written(invalid, "invalid", compact=True)
         if samples and log.isEnabledFor(logging.DEBUG):
             for sample in invalid.limit(samples).collect():
                 log.debug("invalid row: %s", sample)
@@ -120,7 +122,7 @@ def repair(
         settled.append(invalid)
     out = settled[0]
     for part in settled[1:]:
-        out = out.unionByName(part)
+        out = out.unionByName(part, allowMissingColumns=True)
     return Repaired(out, rows.sparkSession.createDataFrame(rounds, _ROUNDS))
 
 

@@ -263,6 +263,12 @@ def test_repair(spark):
     assert [tuple(r) for r in done.rounds.collect()] == [(1, 4, 4, 3), (2, 0, 0, 0)]
 
 
+def test_repair_of_rows_without_a_text_column(spark):
+    df = spark.createDataFrame([(1, "BUG", "GENERAL", "a"), (2, "x", "y", "b1")], "id int, primary string, secondary string, review string")
+    got = {r["id"]: (r["primary"], r["text"]) for r in repair(df, echo, QUICK).rows.collect()}
+    assert got == {1: ("BUG", None), 2: ("BUG", "b1")}
+
+
 def test_repair_stops(spark):
     df = spark.createDataFrame([(i, "x", "GENERAL", "t") for i in range(9)], "id int, primary string, secondary string, text string")
 
