@@ -40,9 +40,11 @@ def spread(rows: DataFrame, path: str) -> DataFrame:
     scanned by many tasks as they are, without a shuffle.
     """
     spark = rows.sparkSession
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
     files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    one_task = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("bB"))
+    setting = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    one_task = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting)
     if files.getContentSummary(target).getLength() >= one_task:
         return rows
     return rows.repartition(spark.sparkContext.defaultParallelism)

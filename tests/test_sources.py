@@ -167,7 +167,7 @@ def test_spread_only_small_tables(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(1000).coalesce(1).write.parquet(path)
     assert spread(spark.read.parquet(path), path).rdd.getNumPartitions() == 4
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
     try:
         rows = spark.read.parquet(path)
         assert spread(rows, path) is rows
