@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import bpe
+from gleanery.llm import bpe, packing, token_files
+from gleanery.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -24,3 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), root)
+    return token_files.read_tokens(spark, root).withColumnRenamed("key", "doc_id")
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
