@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import bpe, packing, simhash, token_files
+from gleanery.llm import bpe, packing, quality, simhash, token_files
 from gleanery.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality.COUNTS[:5], "base_failed", "kept")
