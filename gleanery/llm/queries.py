@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import bpe, packing, quality, simhash, token_files
+from gleanery.llm import bpe, language, packing, quality, simhash, token_files
 from gleanery.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,9 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *quality.COUNTS[:5], "base_failed", "kept")
+
+
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
