@@ -4,8 +4,9 @@ Each rule compares a ratio (symbols per word, shouted letters per letter, …) w
 cutoff.  A fixed ladder of steps tightens all cutoffs together, from lenient to
 strict.  Per stratum, labelled good documents are counted by the first step that would
 reject them, and steps are tested in order: a step passes if the exact binomial
-upper bound on its rate of false rejection is at most ``risk``.  The last step that
-passes before one fails applies.  Testing in a fixed order needs no correction over
+upper bound on its rate of false rejection is at most ``risk``.  Of the steps before
+the first that fails, the most lenient applies that rejects as many labelled bad documents
+as the strictest.  Testing in a fixed order needs no correction over
 steps; over strata the error is divided by their number (Bonferroni).  So with
 probability ``1 - error``, in no stratum more than ``risk`` of good documents go.
 
@@ -34,11 +35,10 @@ SYMBOLS, SPACES = "#*$%&|<>", " \t\n\v\f\r"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_shouts", "n_capitals")
 #: Per rule: numerator, denominator, most lenient and strictest cutoff; any ratio above its cutoff rejects.
 RULES = (
-    ("n_symbols", "n_words", 1.0, 0.05),
-    ("n_shouts", "n_words", 1.0, 0.05),
+    ("n_symbols", "n_words", 1.0, 0.1),
+    ("n_shouts", "n_words", 1.0, 0.1),
     ("n_capitals", "word_chars", 0.8, 0.3),
-    ("n_dup_lines", "n_lines", 0.9, 0.2),
-    ("n_repeat_words", "n_words", 0.3, 0.1),
+    ("n_dup_lines", "n_lines", 0.9, 0.5),
 )
 STEPS = 16
 
@@ -143,19 +143,19 @@ def passes(rejected: int, n: int, risk: float, error: float) -> bool:
 
 
 def choose_steps(labelled: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """Rows (stratum, step): the strictest step that passes; *labelled* has stratum, first_step and good."""
-    good = labelled.filter("good").groupBy("stratum", "first_step").count()
-    counted = written(good, "holdout", compact=True)
-    strata = max(1, counted.select("stratum").distinct().count())
+    """Rows (stratum, step), step 0 rejecting nothing; *labelled* has stratum, first_step and good."""
+    counted = written(labelled.groupBy("stratum", "first_step", "good").count(), "holdout", compact=True)
+    strata = max(1, counted.filter("good").select("stratum").distinct().count())
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
-        by_step = np.bincount(rows["first_step"], rows["count"], STEPS + 2).astype(np.int64)
-        n, step = int(by_step.sum()), 0
-        while step < STEPS and passes(int(by_step[: step + 2].sum()), n, risk, error / strata):
+        good, bad = (np.cumsum(np.bincount(r["first_step"], r["count"], STEPS + 2)).astype(int) for r in (rows[rows["good"]], rows[~rows["good"]]))
+        step = 0
+        while step < STEPS and passes(int(good[step + 1]), int(good[-1]), risk, error / strata):
             step += 1
+        step = int(np.searchsorted(bad, bad[step]))
         return pd.DataFrame({"stratum": rows["stratum"].iloc[:1], "step": step})
 
-    # At most STEPS + 1 rows per stratum.
+    # At most 2 * (STEPS + 1) rows per stratum.
     return counted.groupBy("stratum").applyInPandas(choose, "stratum string, step int")
 
 
