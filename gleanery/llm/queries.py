@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import bpe, language, packing, quality, simhash, token_files
+from gleanery.llm import bpe, language, packing, pii, quality, simhash, token_files
 from gleanery.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+#: For repeatable results; a real run passes a secret.
+_KEY = b"test tables only"
+
+
+@query
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), _KEY)
