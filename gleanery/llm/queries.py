@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gleanery.llm import bpe, language, packing, pii, quality, simhash, token_files
+from gleanery.llm import bpe, language, packing, pii, quality, simhash, token_files, vectors
 from gleanery.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +64,8 @@ _KEY = b"test tables only"
 @query
 def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), _KEY)
+
+
+@query
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
