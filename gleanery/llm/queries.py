@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import archive, bpe, language, packing, pii, quality, simhash, token_files, vectors
-from gleanery.sources.scratch import scratch_path
+from gleanery.llm import archive, bpe, language, packing, pii, quality, rollup, simhash, token_files, tokens, vectors
+from gleanery.sources.scratch import scratch_path, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -87,3 +87,31 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 100 AND least < page_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN payload_bytes >= 100 AND least < page_id THEN least END AS refers_to
 FROM f"""
+
+
+@query
+def op6_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, loaded under one tokenizer; those not in English moved to another; exact copies taken out.
+
+    The second batch is sent twice, as a retry would.
+    """
+    docs = table(spark, sf_dir, "documents").withColumn("digest", F.sha2("text", 256))
+    both = {"n_byte": tokens.BYTE_BPE, "n_word": tokens.WORD_BPE}
+    counts = written(rollup.counted(docs, both).select("doc_id", "source", "lang", "digest", *both), "counts")
+    first, second = F.lit("byte_bpe_50k"), F.lit("word_bpe_49k")
+    moved = ~F.col("lang").eqNullSafe("en")
+    load = counts.select(F.lit("insert").alias("op"), "source", "lang", first.alias("version"), F.col("n_byte").alias("n_tokens"))
+    revised = counts.filter(moved).select(
+        F.lit("revise").alias("op"), "source", "lang", second.alias("version"), F.col("n_word").alias("n_tokens"),
+        F.col("source").alias("old_source"), F.col("lang").alias("old_lang"), first.alias("old_version"), F.col("n_byte").alias("old_n_tokens"),
+    )
+    kept = counts.groupBy("digest").agg(F.min("doc_id").alias("kept"), F.count("*").alias("copies")).filter("copies > 1")
+    copies = counts.join(kept, "digest").filter("doc_id <> kept").select(
+        F.lit("delete").alias("op"), "source", "lang",
+        F.when(moved, second).otherwise(first).alias("version"), F.when(moved, F.col("n_word")).otherwise(F.col("n_byte")).alias("n_tokens"),
+    )
+    own = rollup.Rollups(spark, scratch_path(spark, "rollups"))
+    for batch, changes in (("load", load), ("retokenise", revised), ("copies", copies), ("retokenise", revised)):
+        own.commit(batch, changes)
+    own.compact()
+    return own.totals()
