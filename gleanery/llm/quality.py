@@ -159,19 +159,39 @@ def choose_steps(labelled: DataFrame, risk: float = RISK, error: float = ERROR)
     return counted.groupBy("stratum").applyInPandas(choose, "stratum string, step int")
 
 
+def _judged(rows: DataFrame, labels: DataFrame, key: str, risk: float, error: float) -> DataFrame:
+    marks = labels.filter(F.col(key).isNotNull() & F.col("quality").isNotNull()).groupBy(key).agg((F.min("quality") == 1).alias("_good"))
+    labelled = rows.filter("not base_failed").join(marks, key).select(F.col("_stratum").alias("stratum"), F.col("_first").alias("first_step"), F.col("_good").alias("good"))
+    steps = choose_steps(labelled, risk, error).toDF("_stratum", "_step")
+    kept = ~F.col("base_failed") & (F.col("_first") > F.coalesce("_step", F.lit(0)))
+    return rows.join(steps, "_stratum", "left").withColumn("kept", kept).drop("_stratum", "_first", "_step")
+
+
+def _prepared(docs: DataFrame, text: str, stratum: str) -> DataFrame:
+    marked = docs.withColumn("_stratum", F.coalesce(F.col(stratum).cast("string"), F.lit("")))
+    return measured(marked, text).withColumn("_first", first_step())
+
+
 def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """*docs*, without *text*, with their counts, base_failed and kept; kept is never NULL.
+    """Rows of *docs* by *key*, with their counts, base_failed and kept; kept is never NULL.
 
     *labels* has *key* and quality (1: good); a key labelled more than once is
     good if all its labels are.  Labels without quality or key are not used.  A NULL
-    *stratum* is a stratum of its own.  Good documents that fail the base rules
-    are not in the holdout.  Repeated rows are judged each.
+    *stratum* is a stratum of its own, the one of the empty string.  Good documents that
+    fail the base rules are not in the holdout.  Repeated rows are judged each; an empty
+    table, or one without labels, is judged by the base rules alone.
+    """
+    rows = _prepared(docs.select(key, text, F.col(stratum).alias("_s")), text, "_s").drop(text, "_s")
+    return _judged(written(rows, "measured"), labels, key, risk, error)
+
+
+def keep(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """The rows of *docs* that ``judge`` keeps, with their columns as they were, whatever their names.
+
+    Texts are measured once and never shuffled: the chosen steps, a row per stratum, are joined to them.
     """
-    rows = docs.select(key, text, F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("_stratum"))
-    counted = written(measured(rows, text).drop(text).withColumn("_first", first_step()), "measured")
-    marks = labels.filter(F.col(key).isNotNull() & F.col("quality").isNotNull()).groupBy(key).agg((F.min("quality") == 1).alias("good"))
-    labelled = counted.filter("not base_failed").join(marks, key).select(F.col("_stratum").alias("stratum"), F.col("_first").alias("first_step"), "good")
-    steps = choose_steps(labelled, risk, error)
-    judged = counted.join(steps, F.col("_stratum") == F.col("stratum"), "left")
-    kept = ~F.col("base_failed") & (F.col("_first") > F.coalesce("step", F.lit(0)))
-    return judged.withColumn("kept", kept).drop("stratum", "step", "_stratum", "_first")
+    # Columns of docs that the counts would replace stand aside under other names.
+    aside = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c not in (key, text, stratum)}
+    rows = written(_prepared(docs.withColumnsRenamed(aside), text, stratum), "measured")
+    judged = _judged(rows, labels, key, risk, error).filter("kept")
+    return judged.select(*(F.col(aside.get(c, c)).alias(c) for c in docs.columns))

@@ -249,21 +249,44 @@ def _crowd_links(crowd: DataFrame, distance: int) -> DataFrame:
     return star.distinct()
 
 
+def _classes(rows: DataFrame, distance: int) -> DataFrame:
+    """Of stored rows (key, fp): each fingerprint's component, named by a fingerprint (root) and by its least key."""
+    nodes = written(rows.groupBy("fp").agg(F.min("key").alias("least")), "nodes")
+    found = written(components(links(nodes, distance)), "components")
+    # Only fingerprints with links meet others; the rest are their own component.
+    rooted = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return written(rooted.join(least, "root").select("fp", "root", "component_id"), "classes")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
     """Per row of *docs*: key, fingerprint (16 hex digits) and component_id, the least key that links lead to.
 
-    NULL and blank texts share fingerprint 0 and are linked like any others.  A NULL
-    key comes last: its row has a component, whose id is NULL only if all its keys are.
+    NULL and blank texts share fingerprint 0 and are linked like any others.  NULL
+    keys are passed over for component_id, which is NULL only if a component has no other.
     Repeated rows stay; an empty table gives no rows.  Other columns are not read.
     """
     own = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     rows = written(fingerprints(own).select("key", "fp"), "fingerprints")
-    nodes = written(rows.groupBy("fp").agg(F.min("key").alias("least")), "nodes")
-    found = written(components(links(nodes, distance)), "components")
-    # Only fingerprints with links are joined; the rest are their own component.
-    rooted = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = written(rooted.join(least, "root").select("fp", "component_id"), "labels")
-    return rows.join(labels, "fp").select(
+    classes = _classes(rows, distance)
+    return rows.join(classes, "fp").select(
         F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
+    """One row of *docs* for each component: the one with its least key, NULL keys last.
+
+    Blank and NULL texts are one component.  Of rows repeated with the least key one
+    stays.  Columns stay as they were; *docs* must have no column _fp.
+    """
+    stored = written(fingerprints(docs, text, "_fp", words), "documents")
+    spot = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    rows = stored.select(F.col(key).alias("key"), F.col("_fp").alias("fp"), *spot)
+    placed = rows.join(_classes(rows, distance).select("fp", "root"), "fp")
+    order = F.struct(F.col("key").isNull().alias("last"), "key", "_file", "_row")
+    first = placed.groupBy("root").agg(F.min_by(F.struct("_file", "_row"), order).alias("first"), F.count("*").alias("n"))
+    # Rows alone in their component, most of all, need no look-up.
+    groups = first.filter("n > 1").select("root", "first")
+    gone = placed.join(groups, "root").filter("first._file <> _file or first._row <> _row").select("_file", "_row")
+    return stored.select("*", *spot).join(written(gone, "gone"), ["_file", "_row"], "left_anti").select(*docs.columns)
