@@ -28,16 +28,15 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from gleanery.llm.words import slices, split_words, worker_state
+from gleanery.llm.words import Parts, slices, whole_spaces, worker_state
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Words encoded by one recursive query, entries after which a worker's cache is
 #: emptied, and characters of text taken at once.
-WORDS_PER_QUERY, CACHED, SLICE = 60_000, 450_000, 4_000_000
+WORDS_PER_QUERY, CACHED, SLICE = 60_000, 800_000, 8_000_000
 
 #: Rows of ``state``: the token ``t`` that covers bytes [head, tail) of the batch,
 #: in word ``w``, before token ``n``; ``r``: rank of the two; ``best``: least rank in the word.
@@ -113,29 +112,21 @@ class Codec:
         self._db.register("given_merges", merges)
         self._db.register("given_tokens", tokens)
         self._db.execute("CREATE TABLE merges AS FROM given_merges; CREATE TABLE tokens AS FROM given_tokens")
-        # White space as the vocabulary's own library takes it.
-        self._pattern = regex.compile(
-            pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
-        )
+        self._pattern = whole_spaces(pattern)
         self._starts, self._most = starts, cached
-        self._parts: dict[str, bytes] = {}
+        self.encode = Parts(self.encode_parts, self._pattern, cached).encode
         self._words: dict[str, bytes] = {}
         self._runs: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Of each text, its ids as little-endian 32-bit integers."""
-        keys = [split_words(t, self._pattern) for t in texts]
-        for cache in (self._parts, self._words, self._runs):
-            if len(cache) > self._most:
-                cache.clear()
-        new = list(set().union(*keys).difference(self._parts))
-        words = [self._pattern.findall(k) for k in new]
+    def encode_parts(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part, a part being whole matches of the pattern, as little-endian 32-bit integers."""
+        if len(self._words) > self._most:
+            self._words.clear()
+        words = [self._pattern.findall(p) for p in parts]
         unknown = list({w for of_part in words for w in of_part}.difference(self._words))
         self._words.update(zip(unknown, self.encode_words(unknown), strict=True))
         known = self._words
-        self._parts.update(zip(new, (known[w[0]] if len(w) == 1 else b"".join([known[x] for x in w]) for w in words), strict=True))
-        find = self._parts.__getitem__
-        return [b"".join(map(find, of_text)) for of_text in keys]
+        return [known[w[0]] if len(w) == 1 else b"".join([known[x] for x in w]) for w in words]
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """The ids of each word, a word being one match of the pattern."""
@@ -161,6 +152,8 @@ class Codec:
 
         Sequences are cut before tokens that begin a word; equal runs are decoded once.
         """
+        if len(self._runs) > self._most:
+            self._runs.clear()
         runs = []
         for packed in sequences:
             cuts = np.flatnonzero(self._starts[np.frombuffer(packed, "<i4")])

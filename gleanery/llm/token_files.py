@@ -157,7 +157,8 @@ def read_tokens(spark: SparkSession, root: str, key: T.DataType | None = None) -
     manifest = spark.read.schema(_MANIFEST).parquet(f"{root}/manifest")
     # One row per file: the running sum is over files, not documents.
     before = F.coalesce(F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    files = manifest.select("part", "file", before.alias("before")).repartition("file")
+    # A number is given, or so little data would be gathered into one task.
+    files = manifest.select("part", "file", before.alias("before")).repartitionByRange(max(1, manifest.count()), "part")
     schema = T.StructType([T.StructField("key", key or T.LongType()), *(T.StructField(c, T.LongType()) for c in ("start", "n_tokens", "ids_crc32"))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,74 +2,53 @@
 
 from __future__ import annotations
 
+import itertools
 import os
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 
-from gleanery.llm.words import slices, split_words, worker_state
+from gleanery.llm.words import Parts, slices, whole_spaces, worker_state
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 #: Entries after which a worker's cache is emptied; parts given to the library at
 #: once; characters of text taken at once.
-CACHED, AT_ONCE, SLICE = 600_000, 50_000, 4_000_000
+CACHED, AT_ONCE, SLICE = 1_000_000, 50_000, 4_000_000
 
-_BYTE_LEVEL = regex.compile(
-    public_tokenizers.PATTERN.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
-)
-
-
-def byte_level_parts(text: str) -> list[str]:
-    """Parts for byte-level vocabularies, which keep white space."""
-    return split_words(text, _BYTE_LEVEL)
-
-
-def word_parts(text: str) -> list[str]:
-    """Parts for vocabularies that drop white space: no token crosses a blank."""
-    return text.replace("\n", " ").split(" ")
-
-
-#: How texts may be cut, by vocabulary file.
-CUTS: dict[str, Callable[[str], list[str]]] = {os.path.basename(BYTE_BPE): byte_level_parts, os.path.basename(WORD_BPE): word_parts}
+#: Pattern of a byte-level vocabulary, None for one that drops white space.
+PATTERNS = {os.path.basename(BYTE_BPE): whole_spaces(public_tokenizers.PATTERN), os.path.basename(WORD_BPE): None}
 
 
 class Encoder:
     """A worker's tokenizer; ids come as little-endian unsigned 32-bit integers, special tokens are plain text."""
 
-    def __init__(self, path: str, cut: Callable[[str], list[str]], cached: int = CACHED):
+    def __init__(self, path: str, pattern, cached: int = CACHED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._cut, self._most = cut, cached
-        self._parts: dict[str, bytes] = {}
-
-    @property
-    def size(self) -> int:
-        return self._tokenizer.get_vocab_size()
+        self.size = self._tokenizer.get_vocab_size()
+        self.encode = Parts(self.encode_parts, pattern, cached).encode
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        keys = [self._cut(t) for t in texts]
-        if len(self._parts) > self._most:
-            self._parts.clear()
-        new = list(set().union(*keys).difference(self._parts))
-        for start in range(0, len(new), AT_ONCE):
-            some = new[start : start + AT_ONCE]
-            found = self._tokenizer.encode_batch(some, add_special_tokens=False)
-            self._parts.update((k, b"".join([i.to_bytes(4, "little") for i in e.ids])) for k, e in zip(some, found, strict=True))
-        find = self._parts.__getitem__
-        return [b"".join(map(find, of_text)) for of_text in keys]
+    def encode_parts(self, parts: list[str]) -> list[bytes]:
+        out = []
+        for start in range(0, len(parts), AT_ONCE):
+            ids = [e.ids for e in self._tokenizer.encode_batch_fast(parts[start : start + AT_ONCE], add_special_tokens=False)]
+            packed = np.fromiter(itertools.chain.from_iterable(ids), "<u4").tobytes()
+            ends = [4 * n for n in itertools.accumulate(map(len, ids))]
+            out += [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        return out
 
 
 def encoder(path: str) -> Encoder:
-    """This worker's encoder of the vocabulary at *path*; texts are encoded whole where no cut is known."""
+    """This worker's encoder of the vocabulary at *path*, whose file name tells how texts may be cut."""
     held = worker_state()
     if ("tokenizer", path) not in held:
-        held["tokenizer", path] = Encoder(path, CUTS.get(os.path.basename(path), lambda text: [text]))
+        held["tokenizer", path] = Encoder(path, PATTERNS[os.path.basename(path)])
     return held["tokenizer", path]
 
 

@@ -5,24 +5,80 @@ from __future__ import annotations
 import re
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-#: A blank or line break after other white space: there, cuts need the pattern itself.
-_RUN = re.compile(r"\s[ \n]")
+import regex
 
+#: A comma or full stop after a sign that one token may hold both; the first for ASCII texts.
+_SIGNS = re.compile(r"[!-/:-@\[-`{-~][,.]"), re.compile(r"[^\w\s][,.]|_[,.]")
+#: Marks of a part that stands before a comma or full stop, and of one without a blank before it.
+_STOP, _BARE = "\0", "\1"
 
-def split_words(text: str, pattern) -> list[str]:
-    """*text* in parts whose tokens, joined, are the text's.
 
-    No match of a byte-level *pattern* has white space behind other characters, so
-    a text may be cut before white space that follows something else.  Where white
-    space follows white space, the matches of the pattern are the parts.
+class Parts:
+    """Token ids of texts from those of their parts, each distinct part encoded once.
+
+    No token of a byte-level vocabulary has white space behind other characters, or
+    a comma or full stop behind a letter or number, so a text may be cut before
+    these; *pattern*'s matches are the parts where white space or signs meet.  A
+    vocabulary without *pattern* drops white space: every blank ends a token.
+
+    *encode* gives the ids of parts as bytes.  Parts are remembered, and all
+    forgotten when there are more than *most*.
     """
-    if _RUN.search(text):
-        return pattern.findall(text)
-    head, *rest = text.replace("\n", " \n").split(" ")
-    parts = [k if k[:1] == "\n" else " " + k for k in rest]
-    return [head, *parts] if head else parts
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], pattern, most: int):
+        self._encode, self._pattern, self._most = encode, pattern, most
+        self._known: dict[str, bytes | None] = {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self._known) > self._most:
+            self._known.clear()
+        keys = [self._cut(t) for t in texts]
+        self._learn(keys)
+        find, out, again = self._known.__getitem__, [], []
+        for i, of_text in enumerate(keys):
+            try:
+                out.append(b"".join(map(find, of_text)))
+            except TypeError:  # a part that no cut may end
+                out.append(b"")
+                again.append(i)
+        exact = [self._matches(texts[i]) for i in again]
+        self._learn(exact)
+        for i, of_text in zip(again, exact, strict=True):
+            out[i] = b"".join(map(find, of_text))
+        return out
+
+    def _cut(self, text: str) -> list[str]:
+        if _SIGNS[not text.isascii()].search(text) or _STOP in text or _BARE in text:
+            return self._matches(text)
+        if self._pattern is None:
+            return text.replace("\n", " ").replace(",", " ,").replace(".", " .").split(" ")
+        keys = text.replace("\n", " \n").replace(",", " \0,").replace(".", " \0.").split(" ")
+        if keys[0]:
+            keys[0] = _BARE + keys[0]
+        else:
+            del keys[0]
+        return keys
+
+    def _matches(self, text: str) -> list[str]:
+        if self._pattern is None:
+            return text.replace("\n", " ").split(" ")
+        return [_BARE + m for m in self._pattern.findall(text)]
+
+    def _learn(self, keys: list[list[str]]) -> None:
+        new = list(set().union(*keys).difference(self._known))
+        if self._pattern is None:
+            self._known.update(zip(new, self._encode(new), strict=True))
+            return
+        parts = [k[1:] if k[:1] in (_STOP, _BARE) else k if k[:1] == "\n" else " " + k for k in new]
+        exact = (k[:1] == _BARE or not (k == "" or k[-1].isspace()) for k in new)
+        self._known.update((k, ids if sure else None) for k, ids, sure in zip(new, self._encode(parts), exact, strict=True))
+
+
+def whole_spaces(pattern: str):
+    """*pattern* compiled, with white space as vocabularies' own libraries take it."""
+    return regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
 def slices(sizes: list[int], most: int) -> Iterator[slice]:
