@@ -10,15 +10,17 @@ import argparse
 import importlib
 import json
 from dataclasses import replace
+from functools import partial
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from gleanery.operators.labeling import RULES
 from gleanery.params import CleaningParams, FeedParams, LabelingParams, SplitParams
 from gleanery.plans import flow
-from gleanery.schemas import GOOGLE_PLAY_RAW
+from gleanery.schemas import FEED_PAGE, GOOGLE_PLAY_RAW
 from gleanery.sources.artefacts import Artefacts, new_run_id
-from gleanery.sources.readers import scan_csv, scan_pages, scan_records
+from gleanery.sources.readers import scan_pages, scan_records, scan_table, source_or_empty
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -30,9 +32,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--records-format", default="json", choices=("json", "csv", "parquet"))
     parser.add_argument("--pages", help="landed feed pages of the second platform")
     parser.add_argument("--pages-format", default="parquet", choices=("parquet", "json"))
-    parser.add_argument("--google", help="first platform's table (merge): parquet, or CSV if it ends in .csv")
+    parser.add_argument("--google", help="first platform's table (merge)")
     parser.add_argument("--app-store", help="second platform's table (merge)")
     parser.add_argument("--table", help="the table to prepare, label or split")
+    parser.add_argument(
+        "--format", default="auto", choices=("auto", "parquet", "csv", "json", "json-array"), help="of the stage's tables; auto goes by the path"
+    )
     parser.add_argument("--labeler", default=RULES, help="'rules' or module:function")
     parser.add_argument("--skip-validation", action="store_true")
     parser.add_argument("--no-export", action="store_true", help="write no CSV and JSON copies")
@@ -69,10 +74,8 @@ def flow_params(args: argparse.Namespace) -> flow.FlowParams:
     )
 
 
-def _table(spark: SparkSession, path: str | None) -> DataFrame | None:
-    if path is None:
-        return None
-    return scan_csv(spark, path) if path.rstrip("/").endswith(".csv") else spark.read.parquet(path)
+def _table(spark: SparkSession, path: str | None, file_format: str) -> DataFrame | None:
+    return None if path is None else scan_table(spark, path, file_format)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
@@ -81,20 +84,26 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
     labeler = args.labeler
     if labeler != RULES:
         module, _, name = labeler.partition(":")
-        labeler = getattr(importlib.import_module(module), name)
+        own = importlib.import_module(module)
+        cloudpickle.register_pickle_by_value(own)  # executors need no copy of it
+        labeler = getattr(own, name)
     if args.stage in ("land", "run-all"):
-        records = args.records and scan_records(spark, args.records, GOOGLE_PLAY_RAW, args.records_format)
-        pages = args.pages and scan_pages(spark, args.pages, args.pages_format)
+        records = pages = None
+        if args.records:
+            read = partial(scan_records, spark, args.records, GOOGLE_PLAY_RAW, args.records_format)
+            records = source_or_empty(spark, GOOGLE_PLAY_RAW, read)
+        if args.pages:
+            pages = source_or_empty(spark, FEED_PAGE, partial(scan_pages, spark, args.pages, args.pages_format))
         if args.stage == "run-all":
-            out = flow.run_all(spark, args.out, records or None, pages or None, labeler, params, out.run_id)
+            out = flow.run_all(spark, args.out, records, pages, labeler, params, out.run_id)
         else:
-            flow.run_land(out, records or None, pages or None, params)
+            flow.run_land(out, records, pages, params)
     elif args.stage == "merge":
-        flow.run_merge(out, _table(spark, args.google), _table(spark, args.app_store), params.export)
+        flow.run_merge(out, _table(spark, args.google, args.format), _table(spark, args.app_store, args.format), params.export)
     else:
         if not args.table:
             raise ValueError(f"{args.stage} needs --table")
-        rows = _table(spark, args.table)
+        rows = _table(spark, args.table, args.format)
         if args.stage == "prepare":
             flow.run_prepare(out, rows, params.cleaning, params.export)
         elif args.stage == "label":

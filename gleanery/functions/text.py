@@ -181,12 +181,10 @@ def script_count(text: Column, script: Ranges = CJK_IDEOGRAPHS) -> Column:
 def has_script(text: Column, at_least: int, script: Ranges = CJK_IDEOGRAPHS) -> Column:
     """Whether *text* holds *at_least* code points of *script*.
 
-    Small thresholds stop reading at the last character needed.
+    Reading stops at the last character needed.
     """
     if at_least <= 0:
         return text.isNotNull()
-    if at_least > 64:
-        return script_count(text, script) >= at_least
     rest = class_body(other_than(script))
     return text.rlike(rf"^(?:[{rest}]*+[{class_body(script)}]){{{at_least}}}")
 

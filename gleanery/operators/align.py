@@ -31,19 +31,23 @@ def normalise_records(records: DataFrame) -> DataFrame:
 
 
 def project_records(records: DataFrame, schema: T.StructType = GOOGLE_PLAY_RAW) -> DataFrame:
-    """Exactly the columns of *schema*, NULL for those *records* lacks."""
+    """Exactly the columns of *schema*, NULL for those *records* lacks and for values of another type."""
     return records.select(
         *[
-            (F.col(f.name) if f.name in records.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            (lenient(records, f.name, f.dataType) if f.name in records.columns else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in schema.fields
         ]
     )
 
 
-def _rating(records: DataFrame) -> Column:
-    if not isinstance(records.schema["rating"].dataType, T.StringType):
-        return F.col("rating").cast("int")
-    return F.coalesce(F.col("rating").try_cast("int"), F.col("rating").try_cast("double").try_cast("int"))
+def lenient(rows: DataFrame, column: str, kind: T.DataType) -> Column:
+    """*column* as *kind*, NULL where it has no such value; whole numbers may be written with a point."""
+    value = F.col(column)
+    if isinstance(rows.schema[column].dataType, type(kind)):
+        return value
+    if isinstance(kind, (T.IntegerType, T.LongType)):
+        return F.coalesce(value.try_cast(kind), value.try_cast("double").try_cast(kind))
+    return value.try_cast(kind)
 
 
 def align(raw: DataFrame, platform: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -62,7 +66,7 @@ def align(raw: DataFrame, platform: str, keep: Sequence[str] = ()) -> DataFrame:
         F.lit(platform).alias("platform"),
         F.col("reviewId").cast("string").alias("reviewId"),
         F.col("userName").cast("string").alias("userName"),
-        _rating(raw).alias("rating"),
+        lenient(raw, "rating", T.IntegerType()).alias("rating"),
         F.coalesce(date, F.lit("")).alias("date"),
         F.coalesce(*texts, F.lit("")).alias("content"),
         *keep,
@@ -70,16 +74,19 @@ def align(raw: DataFrame, platform: str, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def keep_first(rows: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
-    """The first row per *key* in *order_by* order; NULL keys are one group.
+    """The first row per *key* in *order_by* order; NULL and empty keys are one group.
 
-    An aggregate rather than a window: each task hands on at most one row per
-    key, so a key held by a third of all rows is no heavier than any other.
+    *order_by* must tell rows apart.  Keys held more than once and what they lose
+    are found on keys and order alone; the losers, by their order, are then taken from
+    *rows*.  Where they are few Spark broadcasts them and whole rows don't move;
+    where they are many, no value of the order is frequent.  A key held by a third of
+    all rows is no heavier than any other, since each task hands on one row per key.
     """
-    others = [c for c in rows.columns if c != key]
-    first = F.min_by(F.struct(*others), F.struct(*order_by)).alias("first")
-    return rows.groupBy(key).agg(first).select(
-        *[F.col(key) if c == key else F.col(f"first.{c}").alias(c) for c in rows.columns]
-    )
+    at = F.struct(*order_by).alias("_at")
+    narrow = rows.select(F.nullif(F.col(key).cast("string"), F.lit("")).alias("_key"), at)
+    first = narrow.groupBy("_key").agg(F.min("_at").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+    lost = narrow.join(first, narrow["_key"].eqNullSafe(first["_key"])).filter(F.col("_at") != F.col("_first")).select("_at")
+    return rows.withColumn("_at", at).join(lost, "_at", "left_anti").select(*rows.columns)
 
 
 def union_reviews(

@@ -197,11 +197,11 @@ def label(
 
     A user's labeler is called on batches of exactly ``batch_size`` pending rows
     (the last of each partition may be shorter), as many at a time as there are
-    tasks; *parallelism* sets that number.  Its result is written once, to *path*
+    tasks; an input column that is missing counts as NULL; *parallelism* sets that number.  Its result is written once, to *path*
     or a scratch table, so that no later job calls the labeler again.
     """
     columns = rows.columns
-    for name in ("primary", "secondary"):
+    for name in ("primary", "secondary", *inputs):
         if name not in columns:
             rows = rows.withColumn(name, F.lit(None).cast("string"))
     pending = is_pending(F.col("primary"))
@@ -239,13 +239,22 @@ def response_labels(responses: DataFrame, batch: str = "batch_id", body: str = "
     )
 
 
-def apply_responses(rows: DataFrame, responses: DataFrame, batch: str = "batch_id", pos: str = "pos") -> DataFrame:
+def one_response(responses: DataFrame, batch: str = "batch_id", body: str = "body", order_by: Sequence[str] = ()) -> DataFrame:
+    """One response per batch: the first in *order_by*, else the one with most labels, then the least text."""
+    rank = F.struct(*order_by, (-F.coalesce(F.size(parse_labels(F.col(body))), F.lit(-1))).alias("_few"), F.col(body).alias("_body"))
+    return responses.groupBy(batch).agg(F.min_by(body, rank).alias(body))
+
+
+def apply_responses(
+    rows: DataFrame, responses: DataFrame, batch: str = "batch_id", pos: str = "pos", order_by: Sequence[str] = ()
+) -> DataFrame:
     """*rows* with the labels that landed responses give them by position.
 
     Rows a response does not reach, and those of unreadable responses, get the
-    fallback labels.  Surplus response items are ignored.
+    fallback labels.  Surplus response items are ignored.  Of several responses to
+    one batch, as retries leave them, ``one_response`` counts.
     """
-    found = response_labels(responses, batch).withColumnRenamed("pos", pos)
+    found = response_labels(one_response(responses, batch, order_by=order_by), batch).withColumnRenamed("pos", pos)
     kept = [c for c in rows.columns if c not in ("primary", "secondary")]
     joined = rows.select(*kept).join(found.withColumn(pos, F.col(pos).cast(rows.schema[pos].dataType)), [batch, pos], "left")
     return joined.select(

@@ -17,7 +17,7 @@ def _at_least(name: str, value: float, bound: float) -> None:
 class FeedParams:
     """How much of each feed to take; ``None`` means all of it."""
 
-    review_count: int | None = 200
+    review_count: int | None = None
     max_pages: int | None = None
 
     def __post_init__(self) -> None:

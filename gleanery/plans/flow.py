@@ -15,6 +15,7 @@ from gleanery.operators.split import stratified_split
 from gleanery.operators.validation import repair
 from gleanery.params import CleaningParams, FeedParams, LabelingParams, LabelRules, SplitParams
 from gleanery.sources.artefacts import Artefacts
+from gleanery.sources.readers import BAD, split_bad, with_flat_order
 
 
 @dataclass(frozen=True)
@@ -35,19 +36,32 @@ def run_land(
     pages: DataFrame | None = None,
     params: FlowParams = FlowParams(),
 ) -> tuple[DataFrame | None, DataFrame | None]:
-    """Raw tables of both platforms, stored; a source without rows leaves none."""
+    """Raw tables of both platforms, stored; a source without rows leaves none.
+
+    Lines that are no record are stored as ``google_play_bad``; the manifest also
+    counts feed entries that could not be read or lie beyond a cap, where there are any.
+    """
     landed: list[DataFrame | None] = []
+    if records is not None:
+        records, bad = split_bad(records)
+        if BAD in bad.columns and not bad.isEmpty():
+            out.store("google_play_bad", bad)
+    feed = Observation("feed")
     for name, rows in (
         ("google_play", None if records is None else normalise_records(records)),
-        ("app_store", None if pages is None else flatten_feed(pages, params.feed)),
+        ("app_store", None if pages is None else flatten_feed(pages, params.feed, counts=feed)),
     ):
         table = None if rows is None else out.store(name, rows)
         if table is not None and not out.rows[name]:
             out.forget(name)
             table = None
         if table is not None and params.export:
-            out.store(f"{name}_csv", table.drop(ORDER), "csv")
+            out.store(f"{name}_csv", with_flat_order(table), "csv")
         landed.append(table)
+    if pages is not None:
+        for artefact, count in (("app_store_unread", feed.get["n_unread"]), ("app_store_cut", feed.get["n_cut"])):
+            if count:
+                out.note(artefact, "", count)
     return landed[0], landed[1]
 
 

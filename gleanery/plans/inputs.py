@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from gleanery.params import LabelRules
 from gleanery.schemas import APP_STORE, GOOGLE_PLAY
-from gleanery.sources.readers import spread
 from gleanery.sources.scratch import written
 
 #: Letters replaced to get ideographs, full-width forms, an emoji, wide space,
@@ -45,8 +44,7 @@ MIXED_RULES = LabelRules(
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    return spread(spark.read.parquet(path), path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _pick(values: list[str | None], at: Column) -> Column:
@@ -72,8 +70,8 @@ def mixed(text: Column) -> Column:
 
 
 def reviews_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews in mixed script, stored, as reviews would be."""
-    return written(reviews(spark, sf_dir).withColumn("content", mixed(F.col("content"))), "mixed")
+    """Reviews in mixed script."""
+    return reviews(spark, sf_dir).withColumn("content", mixed(F.col("content")))
 
 
 def record_dump(rows: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanery.operators.align import lenient
 from gleanery.schemas import FEED_PAGE, LABELED, UNIFIED
 
 Paths = str | list[str]
@@ -32,24 +34,6 @@ def _ordered(rows: DataFrame, ordered: bool) -> DataFrame:
     return rows.select("*", source_order().alias("src_order")) if ordered else rows
 
 
-def spread(rows: DataFrame, path: str) -> DataFrame:
-    """*rows* of a table at *path*, over all cores if the table is small.
-
-    Files below the size of one scan task are read by a single task, and text
-    work is heavy per row, so their rows are dealt out again.  Larger tables are
-    scanned by many tasks as they are, without a shuffle.
-    """
-    spark = rows.sparkSession
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    setting = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    one_task = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting)
-    if files.getContentSummary(target).getLength() >= one_task:
-        return rows
-    return rows.repartition(spark.sparkContext.defaultParallelism)
-
-
 def scan_csv(
     spark: SparkSession,
     path: Paths,
@@ -88,6 +72,41 @@ def scan_csv(
     return _ordered(rows, ordered)
 
 
+#: The source order where a format has no nested columns.
+_FLAT = {"src_source": "source", "src_block": "block", "src_row": "row"}
+
+
+def with_flat_order(rows: DataFrame) -> DataFrame:
+    """*rows* with ``src_order`` as three plain columns, for CSV."""
+    if "src_order" not in rows.columns:
+        return rows
+    return rows.withColumns({flat: F.col(f"src_order.{part}") for flat, part in _FLAT.items()}).drop("src_order")
+
+
+def with_order(rows: DataFrame) -> DataFrame:
+    """The reverse: the order that was exported, in place of that of the export's files."""
+    if not set(_FLAT) <= set(rows.columns):
+        return rows
+    kinds = {"src_source": "string", "src_block": "long", "src_row": "long"}
+    order = F.struct(*(F.col(flat).cast(kinds[flat]).alias(part) for flat, part in _FLAT.items()))
+    return rows.withColumn("src_order", order).drop(*_FLAT)
+
+
+def scan_table(spark: SparkSession, path: str, file_format: str = "auto") -> DataFrame:
+    """A stage's table: parquet, csv, json (lines) or json-array, extra columns included.
+
+    ``auto`` goes by the path: its last ending, or the name of an artefact's folder.
+    """
+    if file_format == "auto":
+        named = re.findall(r"[._](csv|json)(?=/|$)", path.rstrip("/"))
+        file_format = named[-1] if named else "parquet"
+    if file_format == "csv":
+        return with_order(scan_csv(spark, path))
+    if file_format in ("json", "json-array"):
+        return scan_json(spark, path, None, file_format == "json-array", extra=True)
+    return spark.read.format(file_format).load(path)
+
+
 def scan_merged(spark: SparkSession, path: Paths, encoding: str = "utf-8") -> DataFrame:
     """Merged reviews as CSV."""
     return scan_csv(spark, path, UNIFIED, encoding, ordered=False)
@@ -96,31 +115,56 @@ def scan_merged(spark: SparkSession, path: Paths, encoding: str = "utf-8") -> Da
 def scan_json(
     spark: SparkSession,
     path: Paths,
-    schema: T.StructType = LABELED,
+    schema: T.StructType | None = LABELED,
     array_file: bool = False,
     ordered: bool = False,
+    extra: bool = False,
 ) -> DataFrame:
     """Records as JSON lines, or with *array_file* as one JSON array per file.
 
-    Records that cannot be parsed have NULL in every column.
+    Records that cannot be parsed have NULL in every column.  Keys outside *schema*
+    are left out, unless *extra* asks for them: then they are inferred, by one more pass.
     """
-    rows = spark.read.schema(schema).option("multiLine", array_file).option("mode", "PERMISSIVE").json(path)
+    reader = spark.read.option("multiLine", array_file).option("mode", "PERMISSIVE")
+    if extra:
+        found = reader.json(path).schema
+        own = schema.fields if schema is not None else []
+        more = [f for f in found.fields if f.name not in {o.name for o in own} and f.name != BAD]
+        schema = T.StructType([*own, *more])
+    rows = (reader.schema(schema) if schema is not None else reader).json(path)
     return _ordered(rows, ordered)
 
 
+#: A line that is no record; such rows are NULL in all other columns.
+BAD = "bad_record"
+
+
 def scan_records(
     spark: SparkSession, path: Paths, schema: T.StructType, file_format: str = "json", ordered: bool = True
 ) -> DataFrame:
     """A landed record dump, newest first: JSON lines, CSV or parquet.
 
-    JSON lines that cannot be parsed are dropped.
+    No line is dropped.  Of JSON lines every value is read as text and then as its
+    type: a number may be written ``4.0``, a value of another type is NULL, and a
+    line that is no JSON object is kept in ``bad_record``, for ``split_bad``.
     """
     if file_format == "csv":
         return scan_csv(spark, path, schema, ordered=ordered)
-    reader = spark.read.schema(schema).format(file_format)
-    if file_format == "json":
-        reader = reader.option("mode", "DROPMALFORMED")
-    return _ordered(reader.load(path), ordered)
+    if file_format != "json":
+        return _ordered(spark.read.schema(schema).format(file_format).load(path), ordered)
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]).add(BAD, T.StringType())
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    parsed = F.from_json("value", texts, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}).alias("r")
+    rows = lines.select(parsed, *([source_order().alias("src_order")] if ordered else [])).select("r.*", *(["src_order"] if ordered else []))
+    typed = [lenient(rows, f.name, f.dataType).alias(f.name) for f in schema.fields]
+    return rows.select(*typed, BAD, *(["src_order"] if ordered else []))
+
+
+def split_bad(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that are records, without ``bad_record``, and the lines that are none."""
+    if BAD not in rows.columns:
+        return rows, rows.limit(0).select(F.lit(None).cast("string").alias(BAD))
+    return rows.filter(F.col(BAD).isNull()).drop(BAD), rows.filter(F.col(BAD).isNotNull()).select(BAD)
 
 
 def scan_pages(spark: SparkSession, path: Paths, file_format: str = "parquet") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,7 +15,7 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder the session names; a temporary one only in local mode."""
     root = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):  # not local-cluster
             raise ValueError(f"set {_SETTING} to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gleanery-"))
         root = spark.sparkContext.getCheckpointDir()

@@ -63,8 +63,27 @@ def test_merge_ignores_input_layout(spark):
 
 def test_hot_key_is_combined_before_the_shuffle(spark, plan_of):
     plan = plan_of(keep_first(raw(spark, ("1", "a")), "reviewId", ["n"]))
-    below = plan[plan.index("Exchange hashpartitioning") :]
-    assert "partial_min_by" in below and "Window" not in plan
+    assert "partial_min" in plan and "Window" not in plan
+
+
+def test_only_keys_and_losers_move(spark, plan_of, tmp_path):
+    raw(spark, ("1", "a"), ("1", "b")).write.parquet(str(tmp_path / "t"))
+    plan = plan_of(keep_first(spark.read.parquet(str(tmp_path / "t")), "reviewId", ["n"]))
+    assert plan.count("content#") and all("content#" not in line for line in plan.splitlines() if "Exchange" in line)
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert sum("content:" in line for line in scans) == 1 and len(scans) == 3
+
+
+def test_blank_and_missing_ids_are_one_group(spark):
+    df = spark.createDataFrame([(None, 1), ("", 2), (None, 3), ("a", 4)], "reviewId string, n int")
+    assert sorted(r["n"] for r in keep_first(df, "reviewId", ["n"]).collect()) == [1, 4]
+
+
+def test_values_of_other_types_are_null(spark):
+    df = spark.createDataFrame([("five",), ("4.0",), ("3",)], "score string")
+    assert [r["score"] for r in project_records(df).select("score").collect()] == [None, 4, 3]
+    odd = spark.sql("SELECT 'a' AS reviewId, 'u' AS userName, double('NaN') AS rating, 'd' AS date, 'c' AS content")
+    assert align(odd, "p").first()["rating"] is None
 
 
 def test_normalise_records(spark):

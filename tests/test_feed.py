@@ -117,10 +117,38 @@ def test_cap_over_many_pages(spark):
     assert cap_pages(stats, total + 1).isEmpty()
 
 
-def test_bodies_are_not_shuffled(spark, plan_of, tmp_path):
+def test_bodies_are_parsed_once(spark, plan_of, tmp_path):
     pages(spark, ("a", 1, body(entry()))).write.parquet(str(tmp_path / "p"))
     plan = plan_of(flatten_feed(spark.read.parquet(str(tmp_path / "p"))))
-    assert "BroadcastHashJoin" in plan and "Window" not in plan and "hashpartitioning" not in plan
+    assert "body" not in plan and "parse_json" not in plan and "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_feeds_without_a_key(spark):
+    df = pages(spark, ("a", 1, body(entry("1"))), (None, 1, body(entry("2"))), (None, 2, body(entry("3"))))
+    df = df.withColumn("country", F.lit(None).cast("string"))
+    assert {r["reviewId"] for r in flatten_feed(df).collect()} == {"1", "2", "3"}
+    assert {r["reviewId"] for r in flatten_feed(df, FeedParams(review_count=1)).collect()} == {"1", "2"}
+
+
+def test_a_page_landed_twice_counts_once(spark):
+    full, short = body(entry("1"), entry("2"), entry("3")), body(entry("1"))
+    df = pages(spark, ("a", 1, full), ("a", 1, short), ("a", 1, full), ("a", 2, body(entry("4"))), ("a", 2, None))
+    assert sorted(r["reviewId"] for r in flatten_feed(df).collect()) == ["1", "2", "3", "4"]
+    assert sorted(r["reviewId"] for r in flatten_feed(df, FeedParams(review_count=2)).collect()) == ["1", "2"]
+    landed = df.withColumn("landed", F.length("body"))
+    got = flatten_feed(landed, order_by=["landed"]).collect()
+    assert sorted(r["reviewId"] for r in got) == ["1"]  # the second page came first without a body
+
+
+def test_counts_of_what_is_left_out(spark):
+    from pyspark.sql import Observation
+
+    bad = entry(rating={"label": "x"})
+    counts = Observation("counts")
+    df = pages(spark, ("a", 1, body(entry("1"), bad, entry("2"))), ("a", 2, body(entry("3"))))
+    flatten_feed(df, FeedParams(review_count=1), counts=counts).count()
+    assert counts.get == {"n_taken": 1, "n_cut": 2, "n_unread": 1}
+    assert flatten_feed(df).count() == 3  # no cap unless asked for
 
 
 @pytest.mark.parametrize("bad", [{"review_count": 0}, {"max_pages": 0}])

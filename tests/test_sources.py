@@ -9,6 +9,9 @@ from gleanery.schemas import APP_STORE_RAW, FEED_PAGE, GOOGLE_PLAY_RAW, LABELED,
 from gleanery.sources import scratch
 from gleanery.sources.artefacts import Artefacts, new_run_id, read_artefact, write_csv
 from gleanery.sources.readers import (
+    split_bad,
+    scan_table,
+    with_flat_order,
     empty,
     json_key_profile,
     rows_per_file,
@@ -18,7 +21,6 @@ from gleanery.sources.readers import (
     scan_page_files,
     scan_records,
     source_or_empty,
-    spread,
 )
 
 TEXTS = ['plain', 'a "quoted" word', 'two\nlines', 'cr\r\nlf', ' padded ', 'x,y', 'NA', 'null', '\\', '\\"', '"', "é，", None]
@@ -71,8 +73,11 @@ def test_json_files(spark, tmp_path):
     assert got.columns == LABELED.names
     assert {(r["text"], r["primary"], r["reviewId"]) for r in got.collect()} == {("a\nb", None, "1"), ("c", "BUG", None)}
     (tmp_path / "lines.json").write_text('{"reviewId":"1","score":5,"other":1}\n{broken\n{"reviewId":"2"}\n')
-    rows = scan_records(spark, str(tmp_path / "lines.json"), GOOGLE_PLAY_RAW)
+    rows, bad = split_bad(scan_records(spark, str(tmp_path / "lines.json"), GOOGLE_PLAY_RAW))
     assert {r["reviewId"] for r in rows.collect()} == {"1", "2"}
+    assert [r[0] for r in bad.collect()] == ["{broken"]
+    more = scan_json(spark, str(tmp_path / "array.json"), array_file=True, extra=True)
+    assert more.columns == [*LABELED.names, "x"] and {r["x"] for r in more.collect()} == {None, 1}
     assert normalise_records(rows).where("rating = 5").select("reviewId").count() == 1
 
 
@@ -163,13 +168,23 @@ def test_scratch_root():
         scratch.scratch_root(Session("yarn"))
 
 
-def test_spread_only_small_tables(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(1000).coalesce(1).write.parquet(path)
-    assert spread(spark.read.parquet(path), path).rdd.getNumPartitions() == 4
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
-    try:
-        rows = spark.read.parquet(path)
-        assert spread(rows, path) is rows
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+def test_records_of_other_types_are_kept(spark, tmp_path):
+    """The same rows whichever columns are read; a value of another type is NULL."""
+    lines = ['{"reviewId":"1","score":"five"}', '{"reviewId":"2","score":4.0}', '{"reviewId":"3","score":5,"thumbsUpCount":99999999999}', '{"reviewId":4}']
+    (tmp_path / "r.json").write_text("\n".join(lines))
+    rows = scan_records(spark, str(tmp_path / "r.json"), GOOGLE_PLAY_RAW)
+    assert rows.count() == rows.select("reviewId").count() == 4
+    got = {r["reviewId"]: (r["score"], r["thumbsUpCount"]) for r in rows.collect()}
+    assert got == {"1": (None, None), "2": (4, None), "3": (5, None), "4": (None, None)}
+
+
+def test_a_local_cluster_needs_a_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.scratch_root(Session("local-cluster[2,1,1024]"))
+
+
+def test_order_survives_csv(spark, tmp_path):
+    rows = spark.sql("SELECT 'a' AS reviewId, struct('f' AS source, 0L AS block, id AS row) AS src_order FROM range(3)")
+    with_flat_order(rows).write.option("header", True).csv(str(tmp_path / "t_csv" / "run_id=1"))
+    back = scan_table(spark, str(tmp_path / "t_csv" / "run_id=1"))
+    assert {tuple(r["src_order"]) for r in back.collect()} == {("f", 0, k) for k in range(3)}
