@@ -10,7 +10,9 @@ from collections.abc import Callable, Iterator
 import regex
 
 #: A comma or full stop after a sign that one token may hold both; the first for ASCII texts.
-_SIGNS = re.compile(r"[!-/:-@\[-`{-~][,.]"), re.compile(r"[^\w\s][,.]|_[,.]")
+_SIGNS = re.compile(r"[\0-\x08\x0e-\x1f!-/:-@\[-`{-\x7f][,.]"), re.compile(r"[^\w\s][,.]|[_\x1c-\x1f][,.]")
+#: The same where texts are normalised first, which may end a letter with a mark: only Latin letters are sure.
+_LATIN_SIGNS = re.compile(r"[^0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f\s][,.]|[\x1c-\x1f][,.]")
 #: Marks of a part that stands before a comma or full stop, and of one without a blank before it.
 _STOP, _BARE = "\0", "\1"
 
@@ -50,7 +52,8 @@ class Parts:
         return out
 
     def _cut(self, text: str) -> list[str]:
-        if _SIGNS[not text.isascii()].search(text) or _STOP in text or _BARE in text:
+        signs = _SIGNS[0] if text.isascii() else _LATIN_SIGNS if self._pattern is None else _SIGNS[1]
+        if signs.search(text) or _STOP in text or _BARE in text:
             return self._matches(text)
         if self._pattern is None:
             return text.replace("\n", " ").replace(",", " ,").replace(".", " .").split(" ")
