@@ -15,7 +15,7 @@ def con():
     return compare.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, con, name):
     assert compare.differences(QUERIES[name](spark, SF), con, SQL[name]) is None
 
