@@ -147,8 +147,8 @@ class _Stream:
         return value
 
     def like(self, text: str) -> str:
-        """Letters for letters and digits for digits; hexadecimal stays so."""
-        pools = ("0123456789abcdef",) * 2 if re.fullmatch("[0-9a-f]+", text) else ("abcdefghijklmnopqrstuvwxyz", "0123456789")
+        """Letters for letters and digits for digits; long numbers in hexadecimal stay so."""
+        pools = ("0123456789abcdef",) * 2 if re.fullmatch("(?=.*[0-9])(?=.*[a-f])[0-9a-f]{8,}", text) else ("abcdefghijklmnopqrstuvwxyz", "0123456789")
         out = []
         for c in text:
             pool = pools[c.isdigit()] if c.isalnum() else c
