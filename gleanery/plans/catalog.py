@@ -11,6 +11,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleanery.functions import text as tx
 from gleanery.functions.dates import wall_clock
@@ -46,8 +47,8 @@ from gleanery.schemas import (
     UNLABELED,
 )
 from gleanery.sources.artefacts import Artefacts, read_artefact, write_csv
-from gleanery.sources.readers import json_key_profile, rows_per_file, scan_csv, scan_pages, scan_records
-from gleanery.sources.scratch import scratch_path
+from gleanery.sources.readers import json_key_profile, rows_per_file, scan_csv, scan_json, scan_pages, scan_records, split_bad
+from gleanery.sources.scratch import scratch_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -286,7 +287,9 @@ SELECT doc_id, CASE WHEN reached THEN {_primary('primary_raw')} ELSE 'INVALID' E
 )
 def label_response_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.numbered_labels(spark, sf_dir).select("doc_id", "batch_id", "pos")
-    found = apply_responses(rows, inputs.model_responses(spark, sf_dir))
+    responses = inputs.model_responses(spark, sf_dir)
+    again = responses.filter("batch_id % 4 = 1").unionByName(responses.filter("batch_id % 4 = 2").withColumn("body", F.lit("oops")))
+    found = apply_responses(rows, responses.unionByName(again))
     return found.select("doc_id", "primary", "secondary")
 
 
@@ -360,6 +363,30 @@ def label_batch_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label(rows, length_labeler, LabelingParams(batch_pause=0)).select("doc_id", "primary", "secondary")
 
 
+def failing_labeler(batch: pd.DataFrame) -> pd.DataFrame:
+    """Gives up on texts of some lengths."""
+    if (batch["text"].str.len() % 5 == 0).any():
+        raise RuntimeError("no answer")
+    return length_labeler(batch)
+
+
+@query(
+    f"""WITH {inputs.LABELED_TEXTS}, marked AS (SELECT *, coalesce("primary", '') = '' AS pending, length(text) % 5 = 0 AS fails FROM labeled_texts)
+SELECT doc_id, CASE WHEN NOT pending THEN "primary" WHEN fails THEN 'INVALID' ELSE {_BY_LENGTH[0]} END AS "primary",
+       CASE WHEN NOT pending THEN secondary WHEN fails THEN 'GENERAL' ELSE {_BY_LENGTH[1]} END AS secondary FROM marked"""
+)
+def label_failing_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of one row; those that fail, retried or not, get the fallback."""
+    params = LabelingParams(batch_size=1, max_retries=1, retry_delay=0, batch_pause=0)
+    return label(inputs.labeled_texts(spark, sf_dir), failing_labeler, params).select("doc_id", "primary", "secondary")
+
+
+def hesitant_labeler(batch: pd.DataFrame) -> pd.DataFrame:
+    """Needs to be asked twice about texts of odd length."""
+    first = (batch["text"].str.len() % 2 == 1) & (batch["primary"] != "again")
+    return pd.DataFrame({"primary": first.map({True: "again", False: "BUG"}), "secondary": "GENERAL"})
+
+
 _VALID = f'coalesce("primary" IN {_in(PRIMARY_LABELS)}, false) AND coalesce(secondary IN {_in(SECONDARY_LABELS)}, false)'
 _REASONS = f"""concat_ws('; ',
   CASE WHEN NOT coalesce("primary" IN {_in(PRIMARY_LABELS)}, false)
@@ -420,6 +447,19 @@ assigned AS (SELECT r.*, CASE WHEN row_number() OVER (PARTITION BY r."primary" O
 _SPLIT = f"WITH {_STRATA}, {_ASSIGNED % {'rows': 'strata', 'id': 'doc_id'}}"
 
 
+@query(
+    f"""WITH {inputs.LABELED_TEXTS}, bad AS (SELECT *, NOT coalesce("primary" IN {_in(PRIMARY_LABELS)}, false) AS p,
+  NOT coalesce(secondary IN {_in(SECONDARY_LABELS)}, false) AS s FROM labeled_texts WHERE NOT ({_VALID}))
+SELECT 1 AS round, count(*) AS n_invalid, count(*) FILTER (p) AS n_primary, count(*) FILTER (s) AS n_secondary FROM bad
+UNION ALL SELECT 2, count(*), count(*), 0 FROM bad WHERE length(text) % 2 = 1 UNION ALL SELECT 3, 0, 0, 0"""
+)
+def repair_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each round finds with a labeler that needs two of them."""
+    rows = written(inputs.labeled_texts(spark, sf_dir), "labeled")
+    params = LabelingParams(batch_pause=0)
+    return repair(rows, hesitant_labeler, params, inputs=("text", "primary"), sanitise=False).rounds
+
+
 @query(f"""WITH {_STRATA}, {_quotas('strata')} SELECT "primary", n, n_train, n - n_train AS n_test FROM quotas""")
 def split_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_quotas(inputs.strata(spark, sf_dir))
@@ -438,11 +478,11 @@ def split_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- feed --------------------------------------------------------------------------
 
 _FEED_COLUMNS = 'app_id, page, pos, "reviewId", "userName", rating, date, title, review, "isEdited"'
+_FEED_NAMES = [c.strip('" ') for c in _FEED_COLUMNS.split(",")]
 
 
 def _feed(spark: SparkSession, sf_dir: str, params: FeedParams) -> DataFrame:
-    rows = flatten_feed(inputs.feed_pages(spark, sf_dir), params)
-    return rows.select(*[c.strip('" ') for c in _FEED_COLUMNS.split(",")])
+    return flatten_feed(inputs.feed_pages(spark, sf_dir), params).select(*_FEED_NAMES)
 
 
 @query(f"""WITH {inputs.FEED} SELECT {_FEED_COLUMNS} FROM usable""")
@@ -451,7 +491,7 @@ def feed_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {inputs.FEED} SELECT CAST(app AS VARCHAR) AS app_id, 'tw' AS country,
+    f"""WITH {inputs.FEED} SELECT CAST(app AS VARCHAR) AS app_id, CASE WHEN app % 4 <> 0 THEN 'tw' END AS country,
        CAST(coalesce(max(raw_page) FILTER (raw_page < stop), 0) AS BIGINT) AS last_page
 FROM numbered_pages GROUP BY ALL"""
 )
@@ -470,7 +510,21 @@ def feed_max_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT {_FEED_COLUMNS} FROM ranked WHERE rn <= 70"""
 )
 def feed_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _feed(spark, sf_dir, FeedParams(review_count=70))
+    """Some pages were landed again, whole or without a body."""
+    pages = inputs.feed_pages(spark, sf_dir)
+    again = pages.filter("page = 1").unionByName(pages.filter("page = 2").withColumn("body", F.lit(None).cast("string")))
+    return flatten_feed(pages.unionByName(again), FeedParams(review_count=70)).select(*_FEED_NAMES)
+
+
+@query(
+    """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Unknown' ELSE source END AS "userName",
+       CASE WHEN doc_id % 5 = 0 THEN '' ELSE lang END AS title,
+       CASE WHEN doc_id % 7 = 0 THEN 0 ELSE CAST(doc_id % 5 + 1 AS INTEGER) END AS rating FROM documents"""
+)
+def feed_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries without author, title or rating."""
+    pages = inputs.sparse_feed(spark, sf_dir)
+    return flatten_feed(pages).select(F.col("reviewId").cast("long").alias("doc_id"), "userName", "title", "rating")
 
 
 @query(
@@ -558,7 +612,35 @@ def roundtrip_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = scratch_path(spark, "records")
     rows.write.json(path)
-    return scan_records(spark, path, rows.schema, ordered=False)
+    return split_bad(scan_records(spark, path, rows.schema, ordered=False))[0]
+
+
+@query(
+    """SELECT CASE WHEN doc_id % 11 <> 0 THEN doc_id END AS doc_id,
+       CASE WHEN doc_id % 11 <> 0 AND doc_id % 7 <> 0 THEN CAST(doc_id % 5 AS INTEGER) END AS score,
+       CASE WHEN doc_id % 11 = 0 THEN '{broken ' || doc_id END AS bad_record FROM documents"""
+)
+def records_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose scores are words or have a point, and lines that are no record; none is lost."""
+    d = F.col("doc_id")
+    score = F.when(d % 7 == 0, '"five"').when(d % 7 == 1, F.concat((d % 5).cast("string"), F.lit(".0"))).otherwise((d % 5).cast("string"))
+    line = F.concat(F.lit('{"doc_id":'), d, F.lit(',"score":'), score, F.lit(',"content":'), F.to_json(F.array("text")), F.lit("}"))
+    path = scratch_path(spark, "dirty")
+    docs = inputs.table(spark, sf_dir, "documents")
+    docs.select(F.when(d % 11 == 0, F.concat(F.lit("{broken "), d)).otherwise(line)).write.text(path)
+    return scan_records(spark, path, T.StructType().add("doc_id", "long").add("score", "integer"), ordered=False)
+
+
+@query("SELECT doc_id, quality, 'q' || toxic AS note FROM labels")
+def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one JSON array each, with a key outside the schema."""
+    item = F.to_json(F.struct("doc_id", "quality", F.concat(F.lit("q"), F.col("toxic")).alias("note")))
+    rows = inputs.table(spark, sf_dir, "labels").select(F.floor(F.col("doc_id") / 1000).alias("file"), item.alias("item"))
+    arrays = rows.groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("item"), ","), F.lit("]")).alias("value"))
+    path = scratch_path(spark, "arrays")
+    arrays.write.partitionBy("file").text(path)
+    schema = T.StructType().add("doc_id", "long").add("quality", "integer")
+    return scan_json(spark, path, schema, array_file=True, extra=True).select("doc_id", "quality", "note")
 
 
 @query(f"""{_SPLIT} SELECT split, count(*) AS n FROM assigned GROUP BY ALL""")

@@ -125,7 +125,7 @@ def _bodies(rows: DataFrame, keys: list[str]) -> DataFrame:
 def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as feed pages, 250 per app.
 
-    Of every four apps the second has an unreadable page 3, the third an empty
+    Of every four apps the first has no country, the second has an unreadable page 3, the third an empty
     page 4, and the fourth no page 3; some entries have a bad rating or date.
     """
     d = F.col("doc_id")
@@ -147,10 +147,29 @@ def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((F.col("app") % 4 == 2) & (F.col("page") == 4), '{"feed":{}}')
         .otherwise(F.col("body"))
     )
-    pages = pages.select(F.col("app").cast("string").alias("app_id"), F.lit("tw").alias("country"), "page", body.alias("body"))
+    country = F.when(F.col("app") % 4 != 0, "tw")
+    pages = pages.select(F.col("app").cast("string").alias("app_id"), country.alias("country"), "page", body.alias("body"))
     return written(pages, "pages")
 
 
+def sparse_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as faultless pages whose entries may lack author, title or rating."""
+    d = F.col("doc_id")
+    entry = F.struct(
+        F.when(d % 3 != 0, F.struct(_label(F.col("source")).alias("name"))).alias("author"),
+        _label(F.col("text")).alias("content"),
+        F.when(d % 7 != 0, _label((d % 5 + 1).cast("string"))).alias("im:rating"),
+        F.when(d % 5 != 0, _label(F.col("lang"))).alias("title"),
+        _label(d.cast("string")).alias("id"),
+        _label(F.lit("2025-01-02T03:04:05Z")).alias("updated"),
+    )
+    rows = table(spark, sf_dir, "documents").select(
+        F.floor(d / 1000).cast("string").alias("app_id"), F.lit("tw").alias("country"),
+        (F.floor(d % 1000 / PAGE_SIZE) + 1).cast("int").alias("page"), d.alias("pos"), entry.alias("entry"),
+    )
+    return _bodies(rows, ["app_id", "country", "page"])
+
+
 def whole_feed(rows: DataFrame) -> DataFrame:
     """Reviews as feed pages without faults, one app per thousand ids."""
     d = F.col("doc_id")
