@@ -13,6 +13,7 @@ so the model has at most that many numbers per language, whatever the corpus.
 
 from __future__ import annotations
 
+import string
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -57,6 +58,9 @@ def scripts(points: np.ndarray) -> np.ndarray:
 
 def words_of(token: str) -> list[str]:
     """The lower-case words of *token*: runs of letters, cut where the script changes."""
+    bare = token.lower().strip(string.punctuation)
+    if bare.isalpha() and max(bare) < "\u0250":  # most: one word of Latin letters
+        return [bare]
     out = []
     for run in _LETTERS.findall(token.lower()):
         points = np.frombuffer(run.encode("utf-32-le"), "<u4")
