@@ -104,7 +104,12 @@ def run_labeling(
         out.store("labeled_json", labeled, "json")
     fixed = None
     if params.validate and out.rows["labeled"]:
-        fixed = out.store("fixed", repair(labeled, labeler, params.labeling, params.rules).rows)
+        repaired = repair(labeled, labeler, params.labeling, params.rules)
+        if repaired.rounds.filter("n_invalid > 0").isEmpty():
+            out.note("fixed", path, out.rows["labeled"])  # nothing to repair: the same table, not a copy
+            fixed = labeled
+        else:
+            fixed = out.store("fixed", repaired.rows)
         if export:
             out.store("fixed_json", fixed, "json")
     return labeled, fixed
