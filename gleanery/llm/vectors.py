@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from gleanery.sources.scratch import written
 
 K, TABLES, WIDTH, SPREAD = 20, 2, 2.0, 1.1
-#: Vectors of a slice, and of the sample; sampled queries; recall aimed at on the sample.
-BLOCK, SAMPLE, SAMPLE_QUERIES, RECALL = 4096, 4096, 200, 0.95
+#: Entries of a slice, and queries scored at once; vectors and queries of the sample; recall aimed at there.
+BLOCK, GROUP, SAMPLE, SAMPLE_QUERIES, RECALL = 16_384, 128, 4096, 200, 0.95
 
 _RESULT = "query_id bigint, vec_id bigint, score double"
 
@@ -172,52 +172,51 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, key: str = "vec_id"
     asked = asked.join(crowded, "bucket", "left").withColumn("split", F.explode(F.sequence(F.lit(0), splits - 1)))
     asked = asked.withColumn("split", F.col("split").cast("bigint")).select("query", F.pmod(place, slices).alias("slice"), place.alias("place"))
     asked = asked.groupBy("slice", "query").agg(F.collect_list("place").alias("places")).join(queries, "query")
-    near = asked.groupBy("slice").cogroup(held.groupBy("slice")).applyInArrow(_rank(k), _RESULT)
+    near = asked.groupBy("slice").cogroup(held.groupBy("slice")).applyInArrow(_rank(k, hashes.tables), _RESULT)
     merged = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return merged.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _rank(k: int):
-    """In one slice: each query against the buckets it visits, and its *k* best ids there."""
+def _rank(k: int, tables: int):
+    """In one slice: each query against the entries of the buckets it visits, and its *k* best ids there.
+
+    Queries are taken in groups that begin with the same places, so that a group's
+    scores cover few entries that none of its queries visits.
+    """
 
     def run(asked: pa.Table, held: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
+        names, found, values = [], [], []
         if asked.num_rows and held.num_rows:
-            q, x = _matrix(asked["vector"]), _matrix(held["vector"])
-            own = np.array([v["vec_id"] for v in asked["query"].to_pylist()])
-            ids = held["ids"].to_pylist()
+            places, of_entry = np.unique(held["place"].to_numpy(), return_inverse=True)
+            x, ids = _matrix(held["vector"]), held["ids"].to_pylist()
             least = np.array([i[0] for i in ids])
-            place = held["place"].to_numpy()
-            order = np.argsort(place, kind="stable")
-            starts = np.flatnonzero(np.diff(place[order], prepend=place[order[0]] - 1))
-            members = dict(zip(place[order][starts].tolist(), np.split(order, starts[1:]), strict=True))
-            visitors: dict[int, list[int]] = {}
-            for i, places in enumerate(asked["places"].to_pylist()):
-                for p in places:
-                    visitors.setdefault(p, []).append(i)
-            best: list[list[tuple[float, int]]] = [[] for _ in own]
-            for p, who in visitors.items():
-                of = members.get(p)
-                if of is None:
-                    continue
-                scores = q[who] @ x[of].T
-                most = min(k + 1, len(of))
-                bar = np.partition(scores, len(of) - most, axis=1)[:, len(of) - most]
-                for r, i in enumerate(who):
-                    top = np.flatnonzero(scores[r] >= bar[r])
-                    best[i] += zip(scores[r][top].tolist(), of[top].tolist(), strict=True)
-            for i, found in enumerate(best):
-                # An entry that several tables hold here counts once: its least id is its own.
-                once = {int(least[e]): (s, e) for s, e in found}
-                found = sorted(once.values(), key=lambda f: (-f[0], least[f[1]]))
-                named = [(s, v) for s, e in _cut(found, k) for v in ids[e] if v != own[i]]
-                named.sort(key=lambda f: (-f[0], f[1]))
-                for s, v in named[:k]:
-                    out["query_id"].append(int(own[i]))
-                    out["vec_id"].append(v)
-                    out["score"].append(s)
-        return pa.table({"query_id": pa.array(out["query_id"], pa.int64()), "vec_id": pa.array(out["vec_id"], pa.int64()), "score": pa.array(out["score"], pa.float64())})
+            lists = asked["places"].combine_chunks()
+            ends = np.cumsum(lists.value_lengths().to_numpy())
+            flat = lists.flatten().to_numpy()
+            at = np.minimum(np.searchsorted(places, flat), len(places) - 1)
+            visits = np.zeros((asked.num_rows, len(places)), bool)
+            known = places[at] == flat
+            visits[np.repeat(np.arange(asked.num_rows), np.diff(ends, prepend=0))[known], at[known]] = True
+            own = np.array([v["vec_id"] for v in asked["query"].to_pylist()])
+            q = _matrix(asked["vector"])
+            order = np.lexsort(visits.T[::-1]) if len(places) < 64 else np.argsort(visits.argmax(axis=1), kind="stable")
+            for start in range(0, len(order), GROUP):
+                group = order[start : start + GROUP]
+                entries = np.flatnonzero(visits[group].any(axis=0)[of_entry])
+                scores = np.where(visits[group][:, of_entry[entries]], q[group] @ x[entries].T, -np.inf)
+                # An entry may be in a slice once per table.
+                most = min((k + 1) * tables, len(entries))
+                bar = np.partition(scores, len(entries) - most, axis=1)[:, len(entries) - most] if most else None
+                for r, i in enumerate(group.tolist() if most else ()):
+                    top = np.flatnonzero((scores[r] >= bar[r]) & (scores[r] > -np.inf))
+                    once = {int(least[e]): (v, e) for v, e in zip(scores[r][top].tolist(), entries[top].tolist(), strict=True)}
+                    best = _cut(sorted(once.values(), key=lambda f: (-f[0], least[f[1]])), k)
+                    named = sorted(((-v, n) for v, e in best for n in ids[e] if n != own[i]))[:k]
+                    names += [int(own[i])] * len(named)
+                    found += [n for _, n in named]
+                    values += [-v for v, _ in named]
+        return pa.table({"query_id": pa.array(names, pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array(values, pa.float64())})
 
     return run
 
