@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from gleanery.sources.scratch import written
 
 K, TABLES, WIDTH, SPREAD = 20, 2, 2.0, 1.1
+#: Entries that a bucket should hold on average, and bits that a slot number of width ``WIDTH`` carries.
+BUCKET, SLOT_BITS = 1024, 1.6
 #: Entries of a slice, and queries scored at once; vectors and queries of the sample; recall aimed at there.
 BLOCK, GROUP, SAMPLE, SAMPLE_QUERIES, RECALL = 16_384, 128, 4096, 200, 0.95
 
@@ -39,7 +41,7 @@ class Hashes:
 
     def __init__(self, dimension: int, n: int, largest: float, tables: int = TABLES, seed: int = 42):
         random = np.random.default_rng(seed)
-        self.k = int(np.clip(round(math.log2(max(n, 2) / 128)), 4, 20))
+        self.k = int(np.clip(round(math.log2(max(n, 2) / BUCKET) / SLOT_BITS), 3, 16))
         self.tables, self.largest = tables, largest
         self._project = random.standard_normal((tables, dimension + 1, self.k))
         self._shift = random.uniform(0, WIDTH, (tables, 1, self.k))
