@@ -16,7 +16,7 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 #: Entries after which a worker's cache is emptied; parts given to the library at
 #: once; characters of text taken at once.
-CACHED, AT_ONCE, SLICE = 1_000_000, 50_000, 4_000_000
+CACHED, AT_ONCE, SLICE = 800_000, 50_000, 4_000_000
 
 #: Pattern of a byte-level vocabulary, None for one that drops white space.
 PATTERNS = {os.path.basename(BYTE_BPE): whole_spaces(public_tokenizers.PATTERN), os.path.basename(WORD_BPE): None}
