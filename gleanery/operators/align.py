@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from gleanery.functions.dates import clock_text
 from gleanery.schemas import APP_STORE, GOOGLE_PLAY, GOOGLE_PLAY_RAW, UNIFIED
+from gleanery.sources.scratch import written
 
 ORDER = "src_order"
 
@@ -76,17 +77,20 @@ def align(raw: DataFrame, platform: str, keep: Sequence[str] = ()) -> DataFrame:
 def keep_first(rows: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     """The first row per *key* in *order_by* order; NULL and empty keys are one group.
 
-    *order_by* must tell rows apart.  Keys held more than once and what they lose
-    are found on keys and order alone; the losers, by their order, are then taken from
-    *rows*.  Where they are few Spark broadcasts them and whole rows don't move;
-    where they are many, no value of the order is frequent.  A key held by a third of
+    Rows are stored, so that each has a place: of rows that tie the first stored stays,
+    and a loser is taken out by its place, which no other row has.  Keys held
+    more than once and what they lose are found on keys, order and place alone.  Where losers
+    are few Spark broadcasts them and whole rows don't move.  A key held by a third of
     all rows is no heavier than any other, since each task hands on one row per key.
     """
-    at = F.struct(*order_by).alias("_at")
-    narrow = rows.select(F.nullif(F.col(key).cast("string"), F.lit("")).alias("_key"), at)
-    first = narrow.groupBy("_key").agg(F.min("_at").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
-    lost = narrow.join(first, narrow["_key"].eqNullSafe(first["_key"])).filter(F.col("_at") != F.col("_first")).select("_at")
-    return rows.withColumn("_at", at).join(lost, "_at", "left_anti").select(*rows.columns)
+    stored = written(rows, "rows")
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    narrow = stored.select(F.nullif(F.col(key).cast("string"), F.lit("")).alias("_key"), F.struct(*order_by).alias("_order"), *place)
+    at = F.struct("_order", "_file", "_row")
+    first = narrow.groupBy("_key").agg(F.min(at).alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+    later = (F.col("_file") != F.col("_first._file")) | (F.col("_row") != F.col("_first._row"))
+    lost = narrow.join(first, narrow["_key"].eqNullSafe(first["_key"])).filter(later).select("_file", "_row")
+    return stored.select("*", *place).join(lost, ["_file", "_row"], "left_anti").select(*rows.columns)
 
 
 def union_reviews(
@@ -111,12 +115,12 @@ def merge_reviews(
     """Unified table with one row per ``reviewId``.
 
     Of several rows with one id the first platform's wins, within a platform
-    the first in *order_by*.  The readers add ``src_order``, which is the order
-    in the source files; together with the platform it must tell rows apart.
+    the first in *order_by*, and of rows equal in it any one.  The readers add ``src_order``, which is
+    the order in the source files; columns of the unified schema are taken as they are there.
     """
     if google is None and app_store is None:
         return union_reviews()
-    rows = union_reviews(google, app_store, keep=order_by)
+    rows = union_reviews(google, app_store, keep=[c for c in order_by if c not in UNIFIED.names])
     rank = F.when(F.col("platform") == GOOGLE_PLAY, 0).otherwise(1)
     ranked = rows.withColumn("_rank", rank)
     return keep_first(ranked, "reviewId", ["_rank", *order_by]).select(*UNIFIED.names)

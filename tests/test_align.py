@@ -79,6 +79,16 @@ def test_blank_and_missing_ids_are_one_group(spark):
     assert sorted(r["n"] for r in keep_first(df, "reviewId", ["n"]).collect()) == [1, 4]
 
 
+def test_ties_leave_one_row_per_key(spark):
+    rows = [("A", 1, "x"), ("A", 2, "y"), ("B", 2, "z"), ("C", 3, "c"), ("C", 3, "c"), (None, 2, "n"), ("", 2, "m"), ("D", None, "d"), ("D", None, "e")]
+    df = spark.createDataFrame(rows, "reviewId string, t int, content string").repartition(3)
+    got = keep_first(df, "reviewId", ["t"]).collect()
+    assert sorted((r["reviewId"] or "", r["t"] or 0) for r in got) == [("", 2), ("A", 1), ("B", 2), ("C", 3), ("D", 0)]
+    google = raw(spark, ("1", "a"), ("1", "b"), ("2", "c"), ("2", "c"))
+    by_date = merge_reviews(google, raw(spark, ("2", "x"), ("3", "y")), order_by=["date"]).collect()
+    assert sorted((r["reviewId"], r["platform"]) for r in by_date) == [("1", "google_play"), ("2", "google_play"), ("3", "app_store")]
+
+
 def test_values_of_other_types_are_null(spark):
     df = spark.createDataFrame([("five",), ("4.0",), ("3",)], "score string")
     assert [r["score"] for r in project_records(df).select("score").collect()] == [None, 4, 3]
