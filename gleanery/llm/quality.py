@@ -7,14 +7,21 @@ reject them, and steps are tested in order: a step passes if the exact binomial
 upper bound on its rate of false rejection is at most ``risk``.  Of the steps before
 the first that fails, the most lenient applies that rejects as many labelled bad documents
 as the strictest.  Testing in a fixed order needs no correction over
-steps; over strata the error is divided by their number (Bonferroni).  So with
-probability ``1 - error``, in no stratum more than ``risk`` of good documents go.
-
-Strata with too few labels to tell reject nothing beyond the base rules.
+steps; over what is tested the error is divided by its number (Bonferroni).  So with
+probability ``1 - error``, in no tested stratum more than ``risk`` of good documents go.
+
+Strata with too few good labels to pass by themselves, whatever those show, are pooled
+and tested once, as one; strata without labels take the pool's step.  For these the
+risk holds over the pool and not in each.  Only numbers of good labels decide
+what is pooled.  A pool that still has too few takes in the labels of the smallest
+other stratum, and then its step goes no further than its own good labels bear out.  If
+that is not to be had either, or the pool has no good label, it rejects nothing beyond
+the base rules.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -142,28 +149,60 @@ def passes(rejected: int, n: int, risk: float, error: float) -> bool:
     return float(np.exp(logs).sum()) <= error
 
 
+def least_labels(tests: int, risk: float, error: float) -> int:
+    """The good labels that one of *tests* needs to pass if none is rejected."""
+    n = max(1, math.floor(math.log(error / tests) / math.log1p(-risk)) - 1)
+    while not passes(0, n, risk, error / tests):
+        n += 1
+    return n
+
+
+def tests_and_bar(goods: list[int], risk: float, error: float) -> tuple[int, int]:
+    """The fewest tests that do, and the good labels from which on a stratum is tested by itself; the rest is one test."""
+    for tests in range(1, len(goods) + 1):
+        bar = least_labels(tests, risk, error)
+        alone = sum(n >= bar for n in goods)
+        if alone + (alone < len(goods)) <= tests:
+            return tests, bar
+    return 1, least_labels(1, risk, error)
+
+
 def choose_steps(labelled: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """Rows (stratum, step), step 0 rejecting nothing; *labelled* has stratum, first_step and good."""
+    """Rows (stratum, step), step 0 rejecting nothing; *labelled* has stratum, first_step and good.
+
+    Stratum NULL, if there, is the pool: its step is for all strata not named.
+    """
     counted = written(labelled.groupBy("stratum", "first_step", "good").count(), "holdout", compact=True)
-    strata = max(1, counted.filter("good").select("stratum").distinct().count())
+    goods = counted.groupBy("stratum").agg(F.sum(F.when(F.col("good"), F.col("count")).otherwise(0)).alias("n"))
+    known = sorted((r.n, r.stratum) for r in goods.filter("n > 0").collect())  # one per stratum
+    tests, bar = tests_and_bar([n for n, _ in known], risk, error)
+    alone = [s for n, s in known if n >= bar]
+    lender = alone[:1] if 0 < sum(n for n, _ in known if n < bar) < bar else []
+    own = counted.join(goods, "stratum").withColumns({"part": F.when(F.col("n") >= bar, F.col("stratum")), "lent": F.lit(False)})
+    lent = own.filter(F.col("stratum").isin(lender)).withColumns({"part": F.lit(None).cast("string"), "lent": F.lit(True)})
+    parts = own.unionByName(lent).groupBy("part", "first_step", "good", "lent").agg(F.sum("count").alias("count"))
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
-        good, bad = (np.cumsum(np.bincount(r["first_step"], r["count"], STEPS + 2)).astype(int) for r in (rows[rows["good"]], rows[~rows["good"]]))
+        def up_to(of: pd.Series) -> np.ndarray:
+            return np.cumsum(np.bincount(rows["first_step"][of], rows["count"][of], STEPS + 2)).astype(int)
+
+        good, bad, without = up_to(rows["good"]), up_to(~rows["good"]), up_to(rows["good"] & ~rows["lent"])
         step = 0
-        while step < STEPS and passes(int(good[step + 1]), int(good[-1]), risk, error / strata):
+        while step < STEPS and without[step + 1] <= risk * without[-1] and passes(int(good[step + 1]), int(good[-1]), risk, error / tests):
             step += 1
         step = int(np.searchsorted(bad, bad[step]))
-        return pd.DataFrame({"stratum": rows["stratum"].iloc[:1], "step": step})
+        return pd.DataFrame({"stratum": rows["part"].iloc[:1], "step": step})
 
-    # At most 2 * (STEPS + 1) rows per stratum.
-    return counted.groupBy("stratum").applyInPandas(choose, "stratum string, step int")
+    # At most 2 * (STEPS + 1) rows per stratum, twice as many in the pool.
+    return parts.groupBy("part").applyInPandas(choose, "stratum string, step int")
 
 
 def _judged(rows: DataFrame, labels: DataFrame, key: str, risk: float, error: float) -> DataFrame:
     marks = labels.filter(F.col(key).isNotNull() & F.col("quality").isNotNull()).groupBy(key).agg((F.min("quality") == 1).alias("_good"))
     labelled = rows.filter("not base_failed").join(marks, key).select(F.col("_stratum").alias("stratum"), F.col("_first").alias("first_step"), F.col("_good").alias("good"))
-    steps = choose_steps(labelled, risk, error).toDF("_stratum", "_step")
-    kept = ~F.col("base_failed") & (F.col("_first") > F.coalesce("_step", F.lit(0)))
+    steps = written(choose_steps(labelled, risk, error).toDF("_stratum", "_step"), "steps", compact=True)
+    pool = steps.filter("_stratum IS NULL").first()
+    kept = ~F.col("base_failed") & (F.col("_first") > F.coalesce("_step", F.lit(pool["_step"] if pool else 0)))
     return rows.join(steps, "_stratum", "left").withColumn("kept", kept).drop("_stratum", "_first", "_step")
 
 

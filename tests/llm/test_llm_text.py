@@ -118,6 +118,28 @@ def first_step(counts):
     return min(steps)
 
 
+def test_small_strata_are_judged_together(spark):
+    """Three languages with 150 good labels each and one with none: alone none can pass, together they do."""
+    junk = " ".join(f"w{i}%%%" for i in range(30))
+    good = " ".join(f"w{i}" for i in range(30))
+    texts = [(k, junk if k % 6 < 3 else good, "abc"[k % 3]) for k in range(900)] + [(900, junk, "d"), (901, good, "d")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, int(k % 6 >= 3)) for k in range(900)], "doc_id long, quality int")
+    assert all(r["kept"] == (texts[r["doc_id"]][1] == good) for r in quality.judge(docs, labels).collect())
+    few = labels.filter("doc_id < 300")  # the pool too has too few, and no larger stratum
+    assert quality.judge(docs, few).filter("kept").count() == len(texts)
+    # With "a" large enough, the 100 good labels of "b" and "c" are tested with those of "a", unless they speak against it.
+    large = docs.unionByName(docs.filter("lang = 'a'").withColumn("doc_id", F.col("doc_id") + 1000)).unionByName(docs.filter("lang = 'a'").withColumn("doc_id", F.col("doc_id") + 2000))
+    marks = few.unionByName(large.filter("lang = 'a' AND doc_id >= 300").select("doc_id", F.when(F.col("text") == good, 1).otherwise(0).alias("quality")))
+    rows = {r["doc_id"]: r["kept"] for r in quality.judge(large, marks).collect()}
+    assert all(kept == (texts[k % 1000][1] == good) for k, kept in rows.items())
+    against = marks.withColumn("quality", F.when(F.col("doc_id").isin(1, 7, 2, 8), 1).otherwise(F.col("quality")))
+    assert {k for k, kept in ((r["doc_id"], r["kept"]) for r in quality.judge(large, against).collect()) if not kept} == {k for k in rows if texts[k % 1000][1] == junk and texts[k % 1000][2] == "a"}
+    # 4 strata, 3 of them small: two tests, and the bar of a test at half the error.
+    assert quality.tests_and_bar([1000, 100, 100, 100], 0.01, 0.05) == (2, 368)
+    assert quality.tests_and_bar([1000, 900, 800, 437], 0.01, 0.05) == (4, 437) and quality.tests_and_bar([], 0.01, 0.05)[0] == 1
+
+
 def test_verdicts(spark):
     """Verdicts equal a plain version; without labels the base rules alone decide."""
     junk = " ".join(f"w{i}%%%" for i in range(30))
