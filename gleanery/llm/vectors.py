@@ -12,7 +12,8 @@ Only the number of probes is fitted, on a bounded sample, to a target recall the
 a sample has farther neighbours than the whole, so it errs on the safe side.  Every
 vector is indexed.  Equal vectors are one entry with the ids that can be in a result.
 Buckets are dealt to slices; one larger than ``BLOCK`` is split over several, each of
-which its visitors visit.
+which its visitors visit.  Queries are dealt to blocks of about ``QUERIES``, so that a
+task holds one slice's entries and one block's queries at a time.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ BUCKET, SLOT_BITS = 1024, 1.6
 #: Entries of a slice, and queries scored at once; vectors and queries of the sample; recall aimed at there.
 BLOCK, GROUP, SAMPLE, SAMPLE_QUERIES, RECALL = 16_384, 128, 4096, 200, 0.95
 
+#: Queries that may meet in a slice at once, on average.
+QUERIES = 8192
+
 _RESULT = "query_id bigint, vec_id bigint, score double"
 
 
@@ -167,14 +171,18 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, key: str = "vec_id"
     splits = F.coalesce("splits", F.lit(1))
     held = indexed.join(crowded, "bucket", "left").withColumn("split", F.pmod(F.xxhash64("vector"), splits))
     place = F.xxhash64("bucket", "split")
-    held = held.select(F.pmod(place, slices).alias("slice"), place.alias("place"), "ids", "vector")
     queries = written(rows.filter("asks").select(F.struct("vec_id", F.xxhash64("vector").alias("of")).alias("query"), "vector"), "queries")
+    blocks = max(1, math.ceil(queries.count() / QUERIES))
+    block = F.pmod(F.xxhash64("query"), F.lit(blocks).cast("bigint"))
+    held = held.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
+    held = held.select(F.pmod(place, slices).alias("slice"), "block", place.alias("place"), "ids", "vector")
     asked = queries.mapInArrow(visit, "query struct<vec_id: bigint, of: bigint>, buckets array<bigint>")
     asked = asked.select("query", F.explode(F.array_distinct("buckets")).alias("bucket")).join(sizes.select("bucket"), "bucket", "left_semi")
     asked = asked.join(crowded, "bucket", "left").withColumn("split", F.explode(F.sequence(F.lit(0), splits - 1)))
     asked = asked.withColumn("split", F.col("split").cast("bigint")).select("query", F.pmod(place, slices).alias("slice"), place.alias("place"))
     asked = asked.groupBy("slice", "query").agg(F.collect_list("place").alias("places")).join(queries, "query")
-    near = asked.groupBy("slice").cogroup(held.groupBy("slice")).applyInArrow(_rank(k, hashes.tables), _RESULT)
+    asked = asked.withColumn("block", block)
+    near = asked.groupBy("slice", "block").cogroup(held.groupBy("slice", "block")).applyInArrow(_rank(k, hashes.tables), _RESULT)
     merged = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return merged.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

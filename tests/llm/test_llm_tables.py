@@ -150,6 +150,28 @@ def test_recall_and_ties(spark, monkeypatch, block):
     assert hits / 600 >= 0.9
 
 
+def test_queries_meet_entries_in_blocks(spark, monkeypatch):
+    """However many queries visit a slice, a task sees a block of them at a time, and the results stay."""
+    x = np.random.default_rng(4).normal(size=(600, 16)).astype(np.float32).astype(np.float64)
+    df = frame(spark, range(600), x)
+    want = sorted(map(tuple, vectors.search(df, F.col("vec_id") % 5 == 0).collect()))
+    rank = vectors._rank
+
+    def bounded(k, tables):
+        run = rank(k, tables)
+
+        def checked(asked, held):
+            assert asked.num_rows <= 40, asked.num_rows
+            return run(asked, held)
+
+        return checked
+
+    monkeypatch.setattr(vectors, "_rank", bounded)
+    monkeypatch.setattr(vectors, "QUERIES", 20, raising=False)
+    got = sorted(map(tuple, vectors.search(df, F.col("vec_id") % 5 == 0).collect()))
+    assert [g[:3] for g in got] == [w[:3] for w in want] and len(want) == 120 * 20
+
+
 def test_unusable_and_few_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [0.5, 0.5]), (3, [0.0, 1.0]), (40, None), (60, []), (80, [0.0, 0.0]), (100, [nan, 1.0]), (120, [inf, 1.0]), (140, [None, 1.0]), (160, [1.0]), (None, [1.0, 1.0]), (3, [0.0, 1.0])]
