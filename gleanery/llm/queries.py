@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import archive, bpe, language, packing, pii, prefix_trie, quality, rollup, simhash, token_files, tokens, turns, vectors
+from gleanery.llm import archive, bpe, language, mixing, packing, pii, prefix_trie, quality, rollup, simhash, token_files, tokens, turns, vectors
 from gleanery.sources.scratch import scratch_path, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,3 +196,8 @@ above AS (
 )
 SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, sha256(n.ends) AS ends_sha256
 FROM full_nodes n JOIN sums s USING (node) LEFT JOIN nodes p ON p.node = n.parent"""
+
+
+@query
+def op13_bit_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(table(spark, sf_dir, "documents"))
