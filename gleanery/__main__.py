@@ -50,6 +50,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--batch-size", type=int, default=labels.batch_size)
     parser.add_argument("--max-retries", type=int, default=labels.max_retries)
     parser.add_argument("--retry-delay", type=float, default=labels.retry_delay)
+    parser.add_argument("--max-rate", type=float, default=labels.max_rate, help="labeler calls a second over all tasks")
+    parser.add_argument("--ledger", help="folder of the labeler's answers, for runs that are repeated")
     parser.add_argument("--max-rounds", type=int, default=labels.max_rounds)
     parser.add_argument("--test-size", type=float, default=split.test_size)
     parser.add_argument("--seed", type=int, default=split.seed)
@@ -67,10 +69,12 @@ def flow_params(args: argparse.Namespace) -> flow.FlowParams:
             max_retries=args.max_retries,
             retry_delay=args.retry_delay,
             max_rounds=args.max_rounds,
+            max_rate=args.max_rate,
         ),
         split=SplitParams(args.test_size, args.seed, args.by),
         validate=not args.skip_validation,
         export=not args.no_export,
+        ledger=args.ledger,
     )
 
 

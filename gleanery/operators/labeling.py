@@ -8,10 +8,12 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gleanery.functions.labels import canonical_primary, canonical_secondary, parse_labels
+from gleanery.operators.ledger import Ledger, Slots
 from gleanery.params import LabelingParams, LabelRules
 from gleanery.schemas import PRIMARY_FALLBACK, SECONDARY_FALLBACK
 from gleanery.sources.scratch import written
@@ -54,17 +56,26 @@ def _lowered_rules(lowered: Column, rules: LabelRules) -> tuple[Column, Column]:
     return nature, area
 
 
-def batched(labeler: Labeler, params: LabelingParams, pause: float, sleep: Callable[[float], None]):
+def batched(
+    labeler: Labeler, params: LabelingParams, pause: float, sleep: Callable[[float], None], ledger: Ledger | None = None, width: int | None = None
+):
     """An iterator function that calls *labeler* on full batches of wanted rows.
 
     Input frames carry a boolean ``_wanted`` first; rows without it get NULL
     labels and take no place in a batch.  Output keeps the input's row order.
+    A batch that *ledger* has an answer for is not asked again.  With *width*, the number of
+    tasks, ``max_rate`` bounds the calls of all of them.
     """
+    slots: list[Slots] = []  # of the task that runs this
 
     def attempt(batch: pd.DataFrame) -> pd.DataFrame | None:
         for turn in range(params.max_retries + 1):
             if turn:
                 sleep(params.retry_delay)
+            if params.max_rate and width:
+                if not slots:
+                    slots.append(Slots(params.max_rate, width, TaskContext.get().partitionId() % width))
+                slots[0].wait(sleep)
             try:
                 found = labeler(batch)
             except Exception as failure:
@@ -75,10 +86,18 @@ def batched(labeler: Labeler, params: LabelingParams, pause: float, sleep: Calla
         return None
 
     def labels_of(batch: pd.DataFrame) -> pd.DataFrame:
-        found = attempt(batch)
+        digest = ledger.digest(batch) if ledger else None
+        found = ledger.read(digest) if ledger else None
+        if found is None:
+            found = attempt(batch)
+            if found is not None:
+                found = found.reset_index(drop=True).reindex(columns=["primary", "secondary"])
+                found = found.map(lambda v: getattr(v, "value", v))
+            if ledger:
+                ledger.write(digest, found, len(batch))
+            sleep(pause)
         if found is None:
             found = pd.DataFrame()
-        sleep(pause)
         # By position: what is missing at the end stays empty, surplus is cut.
         found = found.reset_index(drop=True).reindex(index=range(len(batch)), columns=["primary", "secondary"])
         found = found.astype(object).where(found.notna(), None)
@@ -129,13 +148,15 @@ def labeler_column(
     params: LabelingParams,
     pause: float,
     sleep: Callable[[float], None] = time.sleep,
+    ledger: Ledger | None = None,
+    width: int | None = None,
 ) -> Column:
     """``struct<primary, secondary>`` as returned by *labeler*, NULL where not *wanted*.
 
     Only *inputs* travel to Python.  Declared non-deterministic: Spark calls it
     once per row and moves no filter below it.
     """
-    run = batched(labeler, params, pause, sleep)
+    run = batched(labeler, params, pause, sleep, ledger, width)
 
     def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from run(frames)
@@ -155,8 +176,14 @@ def with_labels(
     sanitise: bool = True,
     pause: float = 0.0,
     sleep: Callable[[float], None] = time.sleep,
+    ledger: Ledger | None = None,
+    width: int | None = None,
+    counts: Observation | None = None,
 ) -> DataFrame:
-    """*rows* with new labels where *wanted*; the rest keeps its own."""
+    """*rows* with new labels where *wanted*; the rest keeps its own.
+
+    *counts* gets ``n_fallback``, the wanted rows that the labeler gave no label.
+    """
     if isinstance(labeler, str):
         if labeler != RULES:
             raise ValueError(f"unknown labeler {labeler!r}; use {RULES!r} or a function")
@@ -166,8 +193,10 @@ def with_labels(
         new = new.withColumn("_new", F.when(wanted, F.struct(primary.alias("primary"), secondary.alias("secondary"))))
         new = new.drop("_lowered")
     else:
-        new = rows.withColumn("_new", labeler_column(labeler, wanted, inputs, params, pause, sleep))
+        new = rows.withColumn("_new", labeler_column(labeler, wanted, inputs, params, pause, sleep, ledger, width))
     primary, secondary = F.col("_new.primary"), F.col("_new.secondary")
+    if counts is not None:
+        new = new.observe(counts, F.count_if(wanted & primary.isNull() & secondary.isNull()).alias("n_fallback"))
     if sanitise:
         primary, secondary = canonical_primary(primary), canonical_secondary(secondary)
     else:
@@ -192,6 +221,8 @@ def label(
     parallelism: int | None = None,
     path: str | None = None,
     sleep: Callable[[float], None] = time.sleep,
+    ledger: Ledger | None = None,
+    counts: Observation | None = None,
 ) -> DataFrame:
     """Label the pending rows of *rows* in one pass; other columns pass through.
 
@@ -199,18 +230,25 @@ def label(
     (the last of each partition may be shorter), as many at a time as there are
     tasks; an input column that is missing counts as NULL; *parallelism* sets that number.  Its result is written once, to *path*
     or a scratch table, so that no later job calls the labeler again.
+
+    With *ledger* an answered batch is not asked again by a task that replaces a lost one, or by a
+    run that is repeated on the same stored rows.  ``max_rate`` bounds the calls a second over all tasks;
+    their number is then fixed, to *parallelism* or else to that of the session's cores.
+    *counts* gets ``n_fallback``.
     """
     columns = rows.columns
     for name in ("primary", "secondary", *inputs):
         if name not in columns:
             rows = rows.withColumn(name, F.lit(None).cast("string"))
     pending = is_pending(F.col("primary"))
+    if callable(labeler) and params.max_rate and not parallelism:
+        parallelism = rows.sparkSession.sparkContext.defaultParallelism
     if callable(labeler) and parallelism:
         rows = rows.repartition(parallelism)
     # The old label decides what is pending, so it is settled before the new one.
     rows = rows.withColumn("_pending", pending)
     out = with_labels(
-        rows, labeler, F.col("_pending"), params, rules, inputs, sanitise, params.batch_pause, sleep
+        rows, labeler, F.col("_pending"), params, rules, inputs, sanitise, params.batch_pause, sleep, ledger, parallelism, counts
     ).drop("_pending")
     if callable(labeler) or path:
         out = written(out, "labeled", path)

@@ -50,8 +50,12 @@ class LabelingParams:
     retry_delay: float = 30.0
     batch_pause: float = 0.3
     max_rounds: int = 8
+    #: Labeler calls a second over all tasks; None sets no bound.
+    max_rate: float | None = None
 
     def __post_init__(self) -> None:
+        if self.max_rate is not None and self.max_rate <= 0:
+            raise ValueError(f"max_rate must be above 0, got {self.max_rate}")
         _at_least("batch_size", self.batch_size, 1)
         _at_least("max_retries", self.max_retries, 0)
         _at_least("retry_delay", self.retry_delay, 0)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gleanery.operators.align import ORDER, merge_reviews, normalise_records
 from gleanery.operators.feed import flatten_feed
 from gleanery.operators.labeling import RULES, Labeler, label
+from gleanery.operators.ledger import Ledger
 from gleanery.operators.prepare import prepare
 from gleanery.operators.split import stratified_split
 from gleanery.operators.validation import repair
@@ -28,6 +29,8 @@ class FlowParams:
     validate: bool = True
     #: Also write the raw and merged tables as CSV, the later ones as JSON lines.
     export: bool = True
+    #: Folder of a user's labeler's answers, which a repeated run takes instead of calls.
+    ledger: str | None = None
 
 
 def run_land(
@@ -96,10 +99,17 @@ def run_labeling(
     params: FlowParams = FlowParams(),
     export: bool = False,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Labeled rows, and the repaired ones unless validation is off or nothing is there."""
+    """Labeled rows, and the repaired ones unless validation is off or nothing is there.
+
+    The manifest counts the rows that a user's labeler gave no label, where there are any.
+    """
     path = out.path("labeled")
-    labeled = label(unlabeled, labeler, params.labeling, params.rules, path=path)
+    asked = Observation("labels") if callable(labeler) else None
+    ledger = Ledger(params.ledger) if params.ledger else None
+    labeled = label(unlabeled, labeler, params.labeling, params.rules, path=path, ledger=ledger, counts=asked)
     out.note("labeled", path, labeled.count())  # from parquet footers
+    if asked is not None and asked.get["n_fallback"]:
+        out.note("labeled_fallback", "", asked.get["n_fallback"])
     if export:
         out.store("labeled_json", labeled, "json")
     fixed = None

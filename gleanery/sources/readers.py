@@ -46,7 +46,7 @@ def scan_csv(
 
     Without *schema* the header names the columns and all are text.  Only an
     empty field is NULL.  Columns are matched to the header by name.  A file
-    with line ends inside fields is read by one task: land many files, or pass
+    with line ends inside fields is read by one task: use ``ranges.scan_csv_split`` for large ones, or pass
     ``multi_line=False`` where no field has any, and files are split.
     """
     options = {
@@ -61,17 +61,18 @@ def scan_csv(
     }
     rows = spark.read.options(**options, inferSchema=False).csv(path)
     if schema is not None:
-        missing = [f.name for f in schema.fields if f.name not in rows.columns]
-        if missing:
-            raise ValueError(f"columns missing from the CSV header: {missing}")
-        rows = rows.select(
-            *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields],
-            *([source_order().alias("src_order")] if ordered else []),
-        )
-        return rows
+        return rows.select(*typed_columns(rows, schema), *([source_order().alias("src_order")] if ordered else []))
     return _ordered(rows, ordered)
 
 
+def typed_columns(rows: DataFrame, schema: T.StructType) -> list[Column]:
+    """The columns of *schema*, which *rows* has as text, NULL for values of another type."""
+    missing = [f.name for f in schema.fields if f.name not in rows.columns]
+    if missing:
+        raise ValueError(f"columns missing from the CSV header: {missing}")
+    return [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+
+
 #: The source order where a format has no nested columns.
 _FLAT = {"src_source": "source", "src_block": "block", "src_row": "row"}
 
