@@ -23,6 +23,7 @@ from gleanery.operators.align import (
     project_records,
     union_reviews,
 )
+from gleanery.operators.dictionary import resolve, with_canonical
 from gleanery.operators.feed import flatten_feed, last_pages, page_stats
 from gleanery.operators.labeling import (
     apply_responses,
@@ -31,6 +32,7 @@ from gleanery.operators.labeling import (
     label,
     split_pending,
 )
+from gleanery.operators.ledger import Ledger
 from gleanery.operators.ordering import top_recent, with_dense_index
 from gleanery.operators.prepare import prepare
 from gleanery.operators.split import split_counts, split_quotas, stratified_split
@@ -47,6 +49,7 @@ from gleanery.schemas import (
     UNLABELED,
 )
 from gleanery.sources.artefacts import Artefacts, read_artefact, write_csv
+from gleanery.sources.ranges import scan_csv_split, scan_json_split
 from gleanery.sources.readers import json_key_profile, rows_per_file, scan_csv, scan_json, scan_pages, scan_records, split_bad
 from gleanery.sources.scratch import scratch_path, written
 
@@ -279,6 +282,21 @@ def label_canonicalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {inputs.LABELS_DIRTY}
+SELECT doc_id, {_primary('primary_raw')} AS "primary", {_secondary('secondary_raw')} AS secondary FROM labels_dirty"""
+)
+def label_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spellings from tables: each means the spelling before it in its label's list, the first the label."""
+    rows = inputs.labels_dirty(spark, sf_dir).select("doc_id", F.col("primary_raw").alias("primary"), F.col("secondary_raw").alias("secondary"))
+    found = {}
+    for column, spellings in (("primary", PRIMARY_SPELLINGS), ("secondary", SECONDARY_SPELLINGS)):
+        chains = [(forms[i], forms[i - 1] if i else label) for label, forms in spellings.items() for i in range(len(forms))]
+        found[column] = resolve(spark.createDataFrame(chains, "alias string, target string"))
+    allow = {"primary": PRIMARY_LABELS, "secondary": SECONDARY_LABELS}
+    return with_canonical(rows, found, allow, {"primary": "INVALID", "secondary": "GENERAL"})
+
+
 @query(
     f"""WITH {inputs.NUMBERED}, answered AS (
   SELECT *, NOT (batch_id % 7 = 3 AND pos >= n - 2) AS reached FROM numbered)
@@ -363,6 +381,23 @@ def label_batch_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label(rows, length_labeler, LabelingParams(batch_pause=0)).select("doc_id", "primary", "secondary")
 
 
+@query(
+    f"""WITH {inputs.LABELED_TEXTS}
+SELECT doc_id, CASE WHEN coalesce("primary", '') = '' THEN {_BY_LENGTH[0]} ELSE "primary" END AS "primary",
+       CASE WHEN coalesce("primary", '') = '' THEN {_BY_LENGTH[1]} ELSE secondary END AS secondary FROM labeled_texts"""
+)
+def label_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled twice with one ledger; the second run's labeler fails whenever it is called."""
+    rows = written(inputs.labeled_texts(spark, sf_dir), "texts")
+    ledger, params = Ledger(scratch_path(spark, "ledger")), LabelingParams(batch_pause=0, max_retries=0)
+    label(rows, length_labeler, params, ledger=ledger)
+    return label(rows, never_labeler, params, ledger=ledger).select("doc_id", "primary", "secondary")
+
+
+def never_labeler(batch: pd.DataFrame) -> pd.DataFrame:
+    raise RuntimeError("asked again")
+
+
 def failing_labeler(batch: pd.DataFrame) -> pd.DataFrame:
     """Gives up on texts of some lengths."""
     if (batch["text"].str.len() % 5 == 0).any():
@@ -589,6 +624,17 @@ def roundtrip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_csv(spark, path, UNIFIED, ordered=False)
 
 
+@query(
+    f"""WITH {inputs.REVIEWS} SELECT * EXCLUDE (doc_id) REPLACE (translate(content, 'aq', '",') AS content) FROM reviews"""
+)
+def csv_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line ends, quotes and commas, each file cut at its records."""
+    path = scratch_path(spark, "csv")
+    rows = inputs.reviews(spark, sf_dir).withColumn("content", F.translate("content", "aq", '",'))
+    write_csv(rows.select(*UNIFIED.names), path)
+    return scan_csv_split(spark, path, UNIFIED, ordered=False)
+
+
 @query(
     f"""WITH {inputs.LABELED_TEXTS}
 SELECT CAST(doc_id AS VARCHAR) AS "reviewId", 'app_store' AS platform, text, "primary", secondary, 'b' AS run_id FROM labeled_texts"""
@@ -643,6 +689,19 @@ def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_json(spark, path, schema, array_file=True, extra=True).select("doc_id", "quality", "note")
 
 
+@query("SELECT doc_id, quality, CASE WHEN doc_id % 3 > 0 THEN '}\"{' || toxic END AS note FROM labels")
+def json_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same arrays with braces inside texts, each file cut at its records."""
+    note = F.when(F.col("doc_id") % 3 > 0, F.concat(F.lit('}"{'), F.col("toxic")))
+    item = F.to_json(F.struct("doc_id", "quality", note.alias("note")))
+    rows = inputs.table(spark, sf_dir, "labels").select(F.floor(F.col("doc_id") / 1000).alias("file"), item.alias("item"))
+    arrays = rows.groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("item"), ",\n"), F.lit("]")).alias("value"))
+    path = scratch_path(spark, "arrays")
+    arrays.write.partitionBy("file").text(path)
+    schema = T.StructType().add("doc_id", "long").add("quality", "integer").add("note", "string")
+    return split_bad(scan_json_split(spark, path, schema))[0]
+
+
 @query(f"""{_SPLIT} SELECT split, count(*) AS n FROM assigned GROUP BY ALL""")
 def split_file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = Artefacts(spark, scratch_path(spark, "splits"), "r")
