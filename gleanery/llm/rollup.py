@@ -88,16 +88,19 @@ class Rollups:
 
     def totals(self) -> DataFrame:
         """Rows (source, lang, version, n_docs, n_tokens); keys whose totals are all 0 are left out."""
-        tables = self._tables()
+        return self._total(self._tables())
+
+    def _total(self, tables: list[str]) -> DataFrame:
         rows = [self._spark.read.schema(_TOTALS).parquet(f"{self._root}/{t}") for t in tables]
         empty = self._spark.createDataFrame([], _TOTALS)
         return _summed(reduce(DataFrame.unionByName, rows, empty))
 
     def compact(self) -> None:
         """Folds all batches into a new snapshot; readers see the old one or the new."""
-        number, batches, _ = self._snapshot()
-        new = sorted({*batches, *self._commits()})
-        table = self._store(self.totals())
+        # One listing decides what is folded: a batch committed meanwhile is in neither the table nor the list.
+        (number, batches, held), commits = self._snapshot(), self._commits()
+        new = sorted({*batches, *commits})
+        table = self._store(self._total([*([held] if held else []), *(t for b, t in commits.items() if b not in batches)]))
         self._create(f"snapshots/{number + 1:010d}", json.dumps({"table": table, "batches": new}))
 
     def _tables(self) -> list[str]:

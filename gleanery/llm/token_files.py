@@ -122,11 +122,11 @@ class TokenFile:
         self._docs = pa.ipc.open_file(store.open_input_file(f"{folder}/{file}.docs.arrow"))
         self._rows = self._file.get_batch(0).num_rows if self._file.num_record_batches else 0
 
-    def sequence(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of sequence *k*, a view of the file, and its mask."""
+    def sequence(self, k: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """The ids of sequence *k* and its mask, packed as bits: both are views of the file."""
         batch = self._file.get_batch(k // self._rows)
         ids, mask = batch.column(0)[k % self._rows].values, batch.column(1)[k % self._rows].values
-        return ids.to_numpy(), mask.to_numpy(zero_copy_only=False)
+        return ids.to_numpy(), mask
 
     def ids(self) -> Iterator[np.ndarray]:
         """The ids under the mask, batch by batch."""

@@ -16,23 +16,35 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 #: Entries after which a worker's cache is emptied; parts given to the library at
 #: once; characters of text taken at once.
-CACHED, AT_ONCE, SLICE = 800_000, 50_000, 4_000_000
+CACHED, AT_ONCE, SLICE = 400_000, 50_000, 1_000_000
 
 #: Pattern of a byte-level vocabulary, None for one that drops white space.
 PATTERNS = {os.path.basename(BYTE_BPE): whole_spaces(public_tokenizers.PATTERN), os.path.basename(WORD_BPE): None}
 
 
 class Encoder:
-    """A worker's tokenizer; ids come as little-endian unsigned 32-bit integers, special tokens are plain text."""
+    """A worker's tokenizer; ids come as little-endian unsigned 32-bit integers.
+
+    Special tokens written out in a text are found as the library finds them: such a text is encoded whole.
+    """
 
     def __init__(self, path: str, pattern, cached: int = CACHED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._special = [t.content.lower() for t in self._tokenizer.get_added_tokens_decoder().values()]
         self.size = self._tokenizer.get_vocab_size()
-        self.encode = Parts(self.encode_parts, pattern, cached).encode
+        self._by_parts = Parts(self.encode_parts, pattern, cached).encode
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        whole = {i for i, t in enumerate(texts) if any(s in t or s in t.lower() for s in self._special)} if self._special else ()
+        if not whole:
+            return self._by_parts(texts)
+        out = self._by_parts(["" if i in whole else t for i, t in enumerate(texts)])
+        for i in whole:
+            out[i] = self.encode_parts([texts[i]])[0]
+        return out
 
     def encode_parts(self, parts: list[str]) -> list[bytes]:
         out = []
