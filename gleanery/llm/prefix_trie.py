@@ -284,7 +284,7 @@ def trie(rows: DataFrame) -> DataFrame:
     ranged = written(rows.repartitionByRange(parts, "key", "conv_id").withColumn("part", F.spark_partition_id()), "ranged")
     edges = ranged.groupBy("part").agg(F.min("key").alias("first"), F.max("key").alias("last")).orderBy("part").collect()  # one row per part
     shared = [common_turns(a["last"], b["first"]) for a, b in zip(edges, edges[1:], strict=False)]
-    sides = {e["part"]: side for e, side in zip(edges, zip([-1, *shared], [*shared, -1], strict=True), strict=True)}
+    sides = {e["part"]: side for e, side in zip(edges, zip([-1, *shared], [*shared, -1], strict=True), strict=False)}
 
     def grow(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(rows).sort_by([("key", "ascending"), ("conv_id", "ascending")])
