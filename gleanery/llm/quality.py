@@ -231,6 +231,7 @@ def keep(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "t
     """
     # Columns of docs that the counts would replace stand aside under other names.
     aside = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c not in (key, text, stratum)}
-    rows = written(_prepared(docs.withColumnsRenamed(aside), text, stratum), "measured")
+    renamed = docs.select(*(F.col(c).alias(aside.get(c, c)) for c in docs.columns))
+    rows = written(_prepared(renamed, text, stratum), "measured")
     judged = _judged(rows, labels, key, risk, error).filter("kept")
     return judged.select(*(F.col(aside.get(c, c)).alias(c) for c in docs.columns))
