@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanery.llm.words import slices
+from gleanery.llm.words import forget, slices
 
 BUCKETS, PENALTY, SCRIPT_SHARE = 1 << 15, 6.0, 1e-3
 #: Letters of a word that are scored by n-grams at a time, words remembered by a task,
@@ -210,6 +210,7 @@ def label(docs: DataFrame, model: Model, text: str = "text", penalty: float = PE
         fields.append(T.StructField("spans", T.ArrayType(T.StructType([T.StructField("lang", T.StringType()), T.StructField("n_words", T.LongType())]))))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         own = sent.value
         known: dict[str, bytes] = {}  # token to its words' numbers
         number: dict[str, int] = {}

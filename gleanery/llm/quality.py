@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanery.llm.words import slices
+from gleanery.llm.words import forget, slices
 from gleanery.sources.scratch import written
 
 WINDOW, SLICE = 8, 4_000_000
@@ -113,6 +113,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = docs.drop(*COUNTS, "base_failed")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             texts = [t or "" for t in batch.column(text).to_pylist()]
             for part in slices([len(t) for t in texts], SLICE):

@@ -99,3 +99,10 @@ def slices(sizes: list[int], most: int) -> Iterator[slice]:
 def worker_state() -> dict:
     """What lives as long as this Python worker: functions sent by value have new globals in each task."""
     return sys.modules.setdefault("gleanery_worker_state", types.ModuleType("gleanery_worker_state")).__dict__
+
+
+def forget() -> None:
+    """Drops the vocabularies and caches that other operators left in this worker, for a stage that needs none of them."""
+    held = worker_state()
+    for name in [n for n in held if isinstance(n, tuple)]:
+        del held[name]
