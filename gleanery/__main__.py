@@ -28,6 +28,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("stage", choices=("land", "merge", "prepare", "label", "split", "run-all"))
     parser.add_argument("--out", required=True, help="root folder of the artefacts")
     parser.add_argument("--run-id", default=None, help="default: the current time")
+    parser.add_argument("--resume", action="store_true", help="run-all: go on behind the stages that run-id has committed")
     parser.add_argument("--records", help="record dump of the first platform")
     parser.add_argument("--records-format", default="json", choices=("json", "csv", "parquet"))
     parser.add_argument("--pages", help="landed feed pages of the second platform")
@@ -86,6 +87,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
     params = flow_params(args)
     out = Artefacts(spark, args.out, args.run_id or new_run_id())
     labeler = args.labeler
+    if args.resume and not args.run_id:
+        raise ValueError("--resume needs --run-id")
     if labeler != RULES:
         module, _, name = labeler.partition(":")
         own = importlib.import_module(module)
@@ -93,14 +96,18 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
         labeler = getattr(own, name)
     if args.stage in ("land", "run-all"):
         records = pages = None
+        failed: list[str] = []
         if args.records:
             read = partial(scan_records, spark, args.records, GOOGLE_PLAY_RAW, args.records_format)
-            records = source_or_empty(spark, GOOGLE_PLAY_RAW, read)
+            records = source_or_empty(spark, GOOGLE_PLAY_RAW, read, lambda _: failed.append("google_play"))
         if args.pages:
-            pages = source_or_empty(spark, FEED_PAGE, partial(scan_pages, spark, args.pages, args.pages_format))
+            scan = partial(scan_pages, spark, args.pages, args.pages_format)
+            pages = source_or_empty(spark, FEED_PAGE, scan, lambda _: failed.append("app_store"))
         if args.stage == "run-all":
-            out = flow.run_all(spark, args.out, records, pages, labeler, params, out.run_id)
+            out = flow.run_all(spark, args.out, records, pages, labeler, params, out.run_id, args.resume, failed)
         else:
+            for source in failed:
+                out.note(f"{source}_failed", "", 0)
             flow.run_land(out, records, pages, params)
     elif args.stage == "merge":
         flow.run_merge(out, _table(spark, args.google, args.format), _table(spark, args.app_store, args.format), params.export)

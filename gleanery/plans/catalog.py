@@ -33,7 +33,7 @@ from gleanery.operators.labeling import (
     split_pending,
 )
 from gleanery.operators.ledger import Ledger
-from gleanery.operators.ordering import top_recent, with_dense_index
+from gleanery.operators.ordering import first_n, top_recent, with_dense_index
 from gleanery.operators.prepare import prepare
 from gleanery.operators.split import split_counts, split_quotas, stratified_split
 from gleanery.operators.validation import repair, validate, validation_report
@@ -52,6 +52,7 @@ from gleanery.sources.artefacts import Artefacts, read_artefact, write_csv
 from gleanery.sources.ranges import scan_csv_split, scan_json_split
 from gleanery.sources.readers import json_key_profile, rows_per_file, scan_csv, scan_json, scan_pages, scan_records, split_bad
 from gleanery.sources.scratch import scratch_path, written
+from gleanery.sources.shapes import shape_profile
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -572,6 +573,18 @@ def topk_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_recent(rows, 25, "platform", [F.desc("date"), F.asc("reviewId")])
 
 
+@query(
+    """SELECT * EXCLUDE rn FROM (
+  SELECT l_returnflag, l_extendedprice, l_orderkey, l_linenumber,
+         row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS rn FROM lineitem)
+WHERE rn <= 2500"""
+)
+def topk_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More rows per group than a task should sort."""
+    rows = inputs.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice", "l_orderkey", "l_linenumber")
+    return first_n(rows, 2500, "l_returnflag", [("l_extendedprice", True), ("l_orderkey", False), ("l_linenumber", False)])
+
+
 @query(
     f"""WITH {inputs.FEED}, pages AS (
   SELECT CAST(app AS VARCHAR) AS app_id, raw_page AS page, app % 4 AS kind, count(*) AS n,
@@ -614,6 +627,33 @@ def json_entry_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_key_profile(pages, "body", "$.feed.entry")
 
 
+@query(
+    """WITH l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 > 0 THEN l_linestatus END AS mode FROM lineitem
+  WHERE l_orderkey IN (SELECT o_orderkey FROM orders)),
+o AS (SELECT count(DISTINCT l_orderkey) FILTER (l_orderkey % 5 > 0) AS n_full FROM l),
+t AS (SELECT count(*) AS n_all, count(*) FILTER (o_orderkey % 5 = 0) AS n_bad FROM orders),
+i AS (SELECT count(*) AS n, count(mode) AS n_mode FROM l WHERE l_orderkey % 5 > 0)
+SELECT '$' AS path, 'object' AS type, n_all - n_bad AS n, 0 AS n_null, n_bad AS n_missing FROM t
+UNION ALL SELECT '$.key', 'integer', n_all - n_bad, 0, 0 FROM t
+UNION ALL SELECT '$.lines', 'array', n_full, 0, n_all - n_bad - n_full FROM t, o WHERE n_full > 0
+UNION ALL SELECT '$.lines[]', 'object', n, 0, 0 FROM i WHERE n > 0
+UNION ALL SELECT '$.lines[].at', 'object', n, 0, 0 FROM i WHERE n > 0
+UNION ALL SELECT '$.lines[].at.no', 'mixed', n, 0, 0 FROM i WHERE n > 0
+UNION ALL SELECT '$.lines[].mode', 'string', n_mode, 0, n - n_mode FROM i WHERE n_mode > 0"""
+)
+def json_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their lines as nested bodies, some cut off; line numbers are numbers or texts."""
+    number = F.col("l_linenumber")
+    mode = F.when(number % 3 > 0, F.to_json(F.struct(F.col("l_linestatus").alias("mode"))))
+    no = F.when(number % 2 == 0, F.concat(F.lit('"'), number, F.lit('"'))).otherwise(number.cast("string"))
+    line = F.concat(F.lit('{"at":{"no":'), no, F.lit("}"), F.coalesce(F.concat(F.lit(","), F.substring(mode, F.lit(2), F.length(mode) - 2)), F.lit("")), F.lit("}"))
+    lines = inputs.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.concat_ws(",", F.collect_list(line)).alias("lines"))
+    orders = inputs.table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    listed = F.coalesce(F.concat(F.lit(',"lines":['), F.col("lines"), F.lit("]")), F.lit(""))
+    end = F.when(F.col("o_orderkey") % 5 > 0, "}").otherwise("")
+    return shape_profile(orders.select(F.concat(F.lit('{"key":'), F.col("o_orderkey"), listed, end).alias("body")), "body")
+
+
 # --- files -------------------------------------------------------------------------
 
 

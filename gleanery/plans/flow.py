@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,6 +17,7 @@ from gleanery.operators.split import stratified_split
 from gleanery.operators.validation import repair
 from gleanery.params import CleaningParams, FeedParams, LabelingParams, LabelRules, SplitParams
 from gleanery.sources.artefacts import Artefacts
+from gleanery.sources.commits import Stages, source_identity
 from gleanery.sources.readers import BAD, split_bad, with_flat_order
 
 
@@ -146,16 +148,40 @@ def run_all(
     labeler: Labeler | str = RULES,
     params: FlowParams = FlowParams(),
     run_id: str | None = None,
+    resume: bool = False,
+    failed: Sequence[str] = (),
 ) -> Artefacts:
     """Land, merge, prepare, label, repair, split.
 
     Every stage reads what the one before has stored, so a lost executor costs
     at most the running stage and no labeler call is repeated by a later one.
+    With *resume* a run of the same *run_id* goes on behind the stages that it has
+    committed, unless their inputs or settings changed since; a user's labeler is
+    known by its name, not its code.  *failed* names sources that could not be
+    read: each has a row in the manifest.
     """
+    if resume and not run_id:
+        raise ValueError("give the id of the run to resume")
     out = Artefacts(spark, root, run_id) if run_id else Artefacts(spark, root)
-    google, app_store = run_land(out, records, pages, params)
-    merged = run_merge(out, google, app_store, params.export, required=False)
-    unlabeled = run_prepare(out, merged, params.cleaning, params.export)
-    labeled, fixed = run_labeling(out, unlabeled, labeler, params, params.export)
-    run_split(out, fixed if fixed is not None else labeled, "reviewId", params.split)
+    stages = Stages(out, resume)
+
+    def land() -> None:
+        for source in failed:
+            out.note(f"{source}_failed", "", 0)
+        run_land(out, records, pages, params)
+
+    read = (source_identity(records), source_identity(pages)) if resume or run_id else None
+    stages.run("land", (read, tuple(failed), params.feed, params.export), land)
+    google, app_store = stages.table("google_play"), stages.table("app_store")
+    stages.run("merge", params.export, lambda: run_merge(out, google, app_store, params.export, required=False))
+    stages.run("prepare", (params.cleaning, params.export), lambda: run_prepare(out, stages.table("merged"), params.cleaning, params.export))
+    asked = f"{labeler.__module__}:{labeler.__qualname__}" if hasattr(labeler, "__qualname__") else repr(labeler)
+    stages.run(
+        "label",
+        (asked, params.labeling, params.rules, params.validate, params.export),
+        lambda: run_labeling(out, stages.table("unlabeled"), labeler, params, params.export),
+    )
+    final = "fixed" if "fixed" in out.paths else "labeled"
+    stages.run("split", params.split, lambda: run_split(out, stages.table(final), "reviewId", params.split))
+    out.reused = tuple(stages.reused)
     return out

@@ -55,6 +55,8 @@ class Artefacts:
     run_id: str = field(default_factory=new_run_id)
     paths: dict[str, str] = field(default_factory=dict)
     rows: dict[str, int] = field(default_factory=dict)
+    #: Stages of a resumed run that had been done before.
+    reused: tuple[str, ...] = ()
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}/{RUN}={self.run_id}"

@@ -185,12 +185,12 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def source_or_empty(
-    spark: SparkSession, schema: T.StructType, read: Callable[[], DataFrame] | None
+    spark: SparkSession, schema: T.StructType, read: Callable[[], DataFrame] | None, failed: Callable[[str], None] | None = None
 ) -> DataFrame:
     """What *read* gives; no rows if the source is switched off or cannot be opened.
 
     Opening covers listing and schema, not bad records inside: those are the
-    reader's to keep or drop.
+    reader's to keep or drop.  *failed* is told why a source cannot be opened.
     """
     if read is None:
         return empty(spark, schema)
@@ -198,6 +198,8 @@ def source_or_empty(
         return read()
     except PySparkException as failure:
         logging.getLogger("gleanery").error("source cannot be read, taken as empty: %s", failure)
+        if failed:
+            failed(str(failure))
         return empty(spark, schema)
 
 

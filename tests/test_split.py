@@ -1,11 +1,12 @@
 import hashlib
 import math
 from collections import Counter
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from gleanery.operators.ordering import top_recent
+from gleanery.operators.ordering import first_n, top_recent
 from gleanery.operators.split import split_counts, split_quotas, stratified_split
 from gleanery.params import SplitParams
 
@@ -132,3 +133,35 @@ def test_top_recent_cuts_before_the_shuffle(spark, plan_of):
     df = spark.range(100).select((F.col("id") % 2).alias("g"), "id")
     plan = plan_of(top_recent(df, 5, "g", [F.desc("id")]))
     assert "WindowGroupLimit" in plan[plan.rindex("Exchange hashpartitioning") :]
+
+
+@pytest.mark.parametrize("n", [1, 7, 40, 250, 1000])
+def test_first_n_of_any_size(spark, n):
+    """Ties, copies, NULLs and NaN in groups and values, against a sort of each group."""
+    rows = [(("hot", "cold", None)[i % 7 % 3], None if i % 11 == 0 else i % 5, float("nan") if i % 13 == 0 else None if i % 17 == 0 else float(i % 4), i % 6) for i in range(700)]
+    df = spark.createDataFrame(rows, "g string, day int, score double, _hash int").repartition(5)
+    found = Counter((r["g"], r["day"], repr(r["score"]), r["_hash"]) for r in first_n(df, n, "g", [("day", True), ("score", False)]).collect())
+    whole = Counter((g, d, repr(s), h) for g, d, s, h in rows)
+
+    def place(row):
+        day, score = row[1], row[2]
+        return (day is None, -(day or 0), score == "None", score == "nan", 0.0 if score in ("None", "nan") else float(score))
+
+    for group in ("hot", "cold", None):
+        mine = sorted((r for r in whole.elements() if r[0] == group), key=place)
+        got = sorted((r for r in found.elements() if r[0] == group), key=place)
+        assert [place(r) for r in got] == [place(r) for r in mine[:n]]
+    assert not found - whole
+
+
+def test_first_n_of_a_million(spark, tmp_path):
+    spark.range(1_500_000).selectExpr("'one' AS g", "id DIV 3 AS v", "id").write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    out = first_n(df, 1_000_001, "g", [("v", True)])
+    assert out.agg(F.count("*"), F.min("v"), F.countDistinct("id")).first()[:] == (1_000_001, 166_666, 1_000_001)
+
+
+def test_first_n_of_copies_and_of_none(spark):
+    df = spark.createDataFrame([("g", 1)] * 50 + [("g", 0)] * 3, "g string, v int")
+    assert first_n(df, 20, "g", [("v", False)]).groupBy("v").count().orderBy("v").collect() == [(0, 3), (1, 17)]
+    assert first_n(df, 0, "g", [("v", False)]).isEmpty() and first_n(df.limit(0), 5, "g", [("v", False)]).isEmpty()
