@@ -25,12 +25,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanery.llm.words import forget, slices
+from gleanery.sources.scratch import written
 
 BUCKETS, PENALTY, SCRIPT_SHARE = 1 << 15, 6.0, 1e-3
 #: Letters of a word that are scored by n-grams at a time, words remembered by a task,
 #: characters of text taken at once, and cells of a Viterbi block.
-CACHED, SLICE, BLOCK = 400_000, 4_000_000, 2_000_000
+CACHED, SLICE, BLOCK = 200_000, 1_000_000, 2_000_000
 UNKNOWN = "und"
+#: Standard deviations by which a text may fit its language worse than the taught texts of it do on average.
+SPREAD = 12.0
 
 #: First code points of script ranges, and their scripts; other letters are "other".
 SCRIPTS = (
@@ -196,16 +199,19 @@ def _blocks(counts: np.ndarray) -> Iterator[np.ndarray]:
     yield from (order[s] for s in slices(counts[order].tolist(), BLOCK))
 
 
-def label(docs: DataFrame, model: Model, text: str = "text", penalty: float = PENALTY, spans: bool = False) -> DataFrame:
+def label(docs: DataFrame, model: Model, text: str = "text", penalty: float = PENALTY, spans: bool = False, fit: bool = False) -> DataFrame:
     """*docs* with lang_pred and score, and with *spans* the labelled spans of words.
 
-    ``und`` and 0 if the text is NULL, empty or has no letter, or if nothing was
+    With *fit* also the mean score of the text's n-grams, each under its word's language.
+    ``und``, 0 and no fit if the text is NULL, empty or has no letter, or if nothing was
     learnt.  Equal shares go to the language first in order.  Columns named as a
     result are replaced; repeated rows stay.
     """
-    rows = docs.drop("lang_pred", "score", "spans")
+    rows = docs.drop("lang_pred", "score", *(["spans"] if spans else []), *(["fit"] if fit else []))
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages x buckets
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    if fit:
+        fields.append(T.StructField("fit", T.DoubleType()))
     if spans:
         fields.append(T.StructField("spans", T.ArrayType(T.StructType([T.StructField("lang", T.StringType()), T.StructField("n_words", T.LongType())]))))
 
@@ -233,14 +239,14 @@ def label(docs: DataFrame, model: Model, text: str = "text", penalty: float = PE
                 known.update((t, b"".join([number[w].to_bytes(4, "little") for w in ws])) for t, ws in zip(new, found, strict=True))
                 packed = [b"".join(map(known.__getitem__, ts)) for ts in tokens]
                 kept = batch.slice(part.start, part.stop - part.start)
-                yield pa.RecordBatch.from_arrays([*kept.columns, *_labelled(packed, scores, letters, own.languages, penalty, spans)], names=[*batch.schema.names, *(f.name for f in fields)])
+                yield pa.RecordBatch.from_arrays([*kept.columns, *_labelled(packed, scores, letters, own.languages, penalty, spans, fit)], names=[*batch.schema.names, *(f.name for f in fields)])
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *fields]))
 
 
-def _labelled(packed: list[bytes], scores: np.ndarray, letters: np.ndarray, languages: list[str], penalty: float, spans: bool) -> list[pa.Array]:
+def _labelled(packed: list[bytes], scores: np.ndarray, letters: np.ndarray, languages: list[str], penalty: float, spans: bool, fit: bool) -> list[pa.Array]:
     counts = np.array([len(p) // 4 for p in packed], np.int64)
-    pred, share = [UNKNOWN] * len(packed), np.zeros(len(packed))
+    pred, share, fits = [UNKNOWN] * len(packed), np.zeros(len(packed)), np.full(len(packed), np.nan)
     labelled: list[list] = [[] for _ in packed]
     for block in _blocks(counts):
         word = np.frombuffer(b"".join([packed[i] for i in block]), "<i4")
@@ -249,6 +255,8 @@ def _labelled(packed: list[bytes], scores: np.ndarray, letters: np.ndarray, lang
         held = np.bincount(text * len(languages) + chosen, letters[word], len(block) * len(languages)).reshape(len(block), -1)
         first = held.argmax(axis=1)
         share[block] = held.max(axis=1) / held.sum(axis=1)
+        total = np.bincount(text, scores[word, chosen], len(block))
+        fits[block] = total / np.bincount(text, 3 * letters[word] + 1, len(block))  # n-grams of a word and its ends
         for i, k in zip(block.tolist(), first.tolist(), strict=True):
             pred[i] = languages[k]
         if spans:
@@ -256,6 +264,8 @@ def _labelled(packed: list[bytes], scores: np.ndarray, letters: np.ndarray, lang
             for at, n in zip(cuts.tolist(), np.diff(np.append(cuts, len(text))).tolist(), strict=True):
                 labelled[block[text[at]]].append({"lang": languages[chosen[at]], "n_words": n})
     out = [pa.array(pred, pa.string()), pa.array(share)]
+    if fit:
+        out.append(pa.array(fits, pa.float64(), from_pandas=True))
     if spans:
         out.append(pa.array(labelled, pa.list_(pa.struct([("lang", pa.string()), ("n_words", pa.int64())]))))
     return out
@@ -271,3 +281,26 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     marked = docs.withColumn("held_out", held_out(key))
     model = train(marked.filter(~F.col("held_out")), text, lang)
     return label(marked, model, text)
+
+
+def keep(docs: DataFrame, share: float, spread: float = SPREAD, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """Rows of *docs* that are in a learnt language, with the columns of :func:`identify` and ``fit``.
+
+    One language holds *share* of the letters, and the text fits its words' languages: its fit is at
+    most *spread* standard deviations below the mean of that language's taught texts.  Mean and deviation are of
+    all rows that teach and are found to be in their own language; a language whose own texts vary less than
+    all do, as of a few, takes the deviation over all.  So text in a script or language that nobody taught goes, and
+    so does gibberish.  A language without such rows has no bound.  NULL, empty and letterless texts go; repeated rows stay.
+    """
+    marked = docs.withColumn("held_out", held_out(key))
+    model = train(marked.filter(~F.col("held_out")), text, lang)
+    found = written(label(marked, model, text, fit=True), "languages")
+    taught = found.filter(~F.col("held_out") & (F.col("lang_pred") == F.col(lang).cast("string")) & F.col("fit").isNotNull())
+    # One row per language, of numbers only.
+    stats = taught.groupBy("lang_pred").agg(F.avg("fit").alias("mean"), F.var_pop("fit").alias("var"), F.count(F.lit(1)).alias("n")).collect()
+    pooled = sum(r["var"] * r["n"] for r in stats) / max(sum(r["n"] for r in stats), 1)
+    bounds = [(r["lang_pred"], r["mean"] - spread * max(r["var"], pooled) ** 0.5) for r in stats]
+    table = found.sparkSession.createDataFrame(bounds, "_lang string, _least double")
+    fits = F.col("_least").isNull() | (F.col("fit") >= F.col("_least"))
+    joined = found.join(table, F.col("lang_pred") == F.col("_lang"), "left")
+    return joined.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= share) & fits).drop("_lang", "_least")

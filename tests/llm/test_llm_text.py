@@ -72,6 +72,30 @@ def test_held_out_accuracy(spark):
     assert language.identify(docs.limit(3).withColumn("doc_id", F.lit(None).cast("long"))).filter("held_out").count() == 0
 
 
+def test_texts_that_no_taught_language_fits_go(spark):
+    """Scripts and a language that nobody taught, and gibberish, among documents that all stay but for short letters."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").withColumn("fits", F.lit("own"))
+    strange = [
+        "Россия является крупнейшей страной мира по площади и расположена в Европе и Азии", "这是一个中文文本没有人教过 它应该被拒绝",
+        "zxqv wkjh qqqq zzzz pplk wqxz vvkq jjxw", "Minä olen täällä kotona ja hyvää päivää kaikille ystäville", "", "12 34 !!", None,
+    ]
+    added = spark.createDataFrame([(10**6 + i, t, None, "none") for i, t in enumerate(strange)], "doc_id long, text string, lang string, fits string")
+    found = language.keep(docs.unionByName(added), 0.5)
+    kept = found.collect()
+    long = {r["doc_id"] for r in docs.filter("length(text) >= 170").collect()}
+    assert {r["doc_id"] for r in kept} >= long and {r["fits"] for r in kept} == {"own"}
+    assert language.keep(docs.limit(0), 0.5).isEmpty() and language.keep(added.filter("text IS NULL"), 0.5).isEmpty()
+
+
+def test_fit_is_the_mean_score_of_ngrams(spark):
+    docs = spark.createDataFrame([(0, "alba gatto", "it"), (1, "der hund", "de"), (2, "alba hund", None), (3, "", "it")], "doc_id long, text string, lang string")
+    model = language.train(docs)
+    got = {r["doc_id"]: r["fit"] for r in language.label(docs, model, fit=True).collect()}
+    words = ["alba", "gatto"]
+    owner, bucket = language.ngrams(words)
+    assert got[0] == pytest.approx(model.scores[bucket, model.languages.index("it")].mean(), rel=1e-5) and got[3] is None
+
+
 # --- quality ------------------------------------------------------------------------
 
 
