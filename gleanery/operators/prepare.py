@@ -16,15 +16,16 @@ def prepare(reviews: DataFrame, params: CleaningParams = CleaningParams()) -> Da
     Blank texts go first, then those whose cleaned form is too short or has
     too few characters of the wanted script.
     """
-    rows = reviews.select("reviewId", "platform", F.col("content").cast("string").alias("content"))
-    rows = rows.filter((F.col("content") != "") & (strip_space(F.col("content")) != ""))
+    # Each as an array of none or one, so that Spark cannot move a test below the
+    # projection that computes its text, and compute every text twice or more.
+    filled = F.filter(F.array(F.col("content").cast("string")), lambda text: strip_space(text) != "")
+    rows = reviews.filter(F.col("content").cast("string") != "")  # reaches the scan of a stored table
+    rows = rows.select("reviewId", "platform", F.explode(filled).alias("content"))
     rows = rows.select("reviewId", "platform", clean_text(F.col("content"), params.strip_emoji).alias("text"))
 
     def wanted(text):
         return (F.length(text) >= params.min_length) & has_script(text, params.min_script_chars, params.script)
 
-    # As an array of none or one, so that Spark cannot move the test below the
-    # projection and clean every text twice, once for the test and once for it.
     survivors = F.filter(F.array("text"), wanted)
     return rows.select(
         "reviewId",

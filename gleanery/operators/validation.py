@@ -17,6 +17,8 @@ from gleanery.params import LabelingParams, LabelRules
 from gleanery.schemas import PRIMARY_FALLBACK, PRIMARY_LABELS, SECONDARY_FALLBACK, SECONDARY_LABELS
 from gleanery.sources.scratch import written
 
+#: Characters that Python's ``repr`` escapes by number: all that don't print, the plain space aside.
+_UNPRINTED = r"[\p{Cc}\p{Cf}\p{Cs}\p{Co}\p{Cn}\p{Zl}\p{Zp}\p{Zs}&&[^ ]]"
 _ROUNDS = "round int, n_invalid bigint, n_primary bigint, n_secondary bigint"
 
 
@@ -24,11 +26,22 @@ def valid_labels() -> Column:
     return is_label(F.col("primary"), PRIMARY_LABELS) & is_label(F.col("secondary"), SECONDARY_LABELS)
 
 
+def _numbered(char: Column) -> Column:
+    point = F.ascii(char)
+    digits = F.lower(F.hex(point))
+    wide = F.when(point > 0xFFFF, F.concat(F.lit("\\U"), F.lpad(digits, 8, "0"))).when(point > 0xFF, F.concat(F.lit("\\u"), F.lpad(digits, 4, "0")))
+    return F.when(char.rlike(_UNPRINTED), wide.otherwise(F.concat(F.lit("\\x"), F.lpad(digits, 2, "0")))).otherwise(char)
+
+
 def _quoted(value: Column) -> Column:
-    """The value as Python prints it: quoted, or None."""
+    """The value as Python prints it: quoted, or None.
+
+    Characters that the JVM's Unicode version doesn't know yet are escaped, though Python's may print them.
+    """
     text = value
     for char, shown in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         text = F.replace(text, F.lit(char), F.lit(shown))
+    text = F.when(text.rlike(_UNPRINTED), F.array_join(F.transform(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), _numbered), "")).otherwise(text)
     plain = F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("\\'")), F.lit("'"))
     double = F.concat(F.lit('"'), text, F.lit('"'))
     shown = F.when(F.contains(value, F.lit("'")) & ~F.contains(value, F.lit('"')), double).otherwise(plain)

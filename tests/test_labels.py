@@ -228,17 +228,18 @@ def test_no_label_columns(spark):
 def test_validate(spark):
     rows = [
         (0, "BUG", "GENERAL", "ok"), (1, "bug", "GENERAL", "x" * 81), (2, None, "it's", None), (3, "BUG", 'a"b\n\\', "t"),
+        (4, "BUG", "\u00a0x\u200b'\U000e0001\x07 😀é", "t"),
     ]
     df = spark.createDataFrame(rows, "index bigint, primary string, secondary string, text string")
     got = {r["index"]: r for r in validate(df).collect()}
-    assert set(got) == {1, 2, 3}
-    for i in (1, 2, 3):
+    assert set(got) == {1, 2, 3, 4}
+    for i in (1, 2, 3, 4):
         _, primary, secondary, text = rows[i]
-        reasons = [f"{n} invalid: {v!r}" for n, v, ok in (("primary", primary, i == 3), ("secondary", secondary, i == 1)) if not ok]
+        reasons = [f"{n} invalid: {v!r}" for n, v, ok in (("primary", primary, i >= 3), ("secondary", secondary, i == 1)) if not ok]
         assert got[i]["reasons"] == reasons and (got[i]["primary"], got[i]["secondary"]) == (primary, secondary)
     assert got[1]["text_preview"] == "x" * 80 + "..." and got[2]["text_preview"] == ""
     report = {r["reason"]: r["n"] for r in validation_report(validate(df)).collect()}
-    assert report["primary invalid: 'bug'"] == 1 and len(report) == 4
+    assert report["primary invalid: 'bug'"] == 1 and len(report) == 5
 
 
 def test_repair(spark):
