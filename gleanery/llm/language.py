@@ -296,11 +296,11 @@ def keep(docs: DataFrame, share: float, spread: float = SPREAD, key: str = "doc_
     model = train(marked.filter(~F.col("held_out")), text, lang)
     found = written(label(marked, model, text, fit=True), "languages")
     taught = found.filter(~F.col("held_out") & (F.col("lang_pred") == F.col(lang).cast("string")) & F.col("fit").isNotNull())
-    # One row per language, of numbers only.
+    # One row per language, of numbers only: far less than the model, which goes to all executors too.
     stats = taught.groupBy("lang_pred").agg(F.avg("fit").alias("mean"), F.var_pop("fit").alias("var"), F.count(F.lit(1)).alias("n")).collect()
     pooled = sum(r["var"] * r["n"] for r in stats) / max(sum(r["n"] for r in stats), 1)
     bounds = [(r["lang_pred"], r["mean"] - spread * max(r["var"], pooled) ** 0.5) for r in stats]
     table = found.sparkSession.createDataFrame(bounds, "_lang string, _least double")
     fits = F.col("_least").isNull() | (F.col("fit") >= F.col("_least"))
-    joined = found.join(table, F.col("lang_pred") == F.col("_lang"), "left")
+    joined = found.join(F.broadcast(table), F.col("lang_pred") == F.col("_lang"), "left")
     return joined.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= share) & fits).drop("_lang", "_least")

@@ -7,6 +7,7 @@ import sys
 import types
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 import regex
 
 #: A comma or full stop after a sign that one token may hold both; the first for ASCII texts.
@@ -102,7 +103,11 @@ def worker_state() -> dict:
 
 
 def forget() -> None:
-    """Drops the vocabularies and caches that other operators left in this worker, for a stage that needs none of them."""
+    """Drops the vocabularies and caches that other operators left in this worker, for a stage that needs none of them.
+
+    What batches of earlier tasks left in Arrow's pool goes back to the system.
+    """
     held = worker_state()
     for name in [n for n in held if isinstance(n, tuple)]:
         del held[name]
+    pa.default_memory_pool().release_unused()
