@@ -33,7 +33,7 @@ BUCKETS, PENALTY, SCRIPT_SHARE = 1 << 15, 6.0, 1e-3
 CACHED, SLICE, BLOCK = 200_000, 1_000_000, 2_000_000
 UNKNOWN = "und"
 #: Standard deviations by which a text may fit its language worse than the taught texts of it do on average.
-SPREAD = 12.0
+SPREAD = 24.0
 
 #: First code points of script ranges, and their scripts; other letters are "other".
 SCRIPTS = (
