@@ -15,6 +15,7 @@ from gleanery.functions.text import preview
 from gleanery.operators.labeling import Labeler, with_labels
 from gleanery.params import LabelingParams, LabelRules
 from gleanery.schemas import PRIMARY_FALLBACK, PRIMARY_LABELS, SECONDARY_FALLBACK, SECONDARY_LABELS
+from gleanery.sources.deltas import placed
 from gleanery.sources.scratch import written
 
 #: Characters that Python's ``repr`` escapes by number: all that don't print, the plain space aside.
@@ -107,9 +108,39 @@ def repair(
     and should be a stored table.  *parallelism* is the number of concurrent
     calls of a user's labeler.
     """
-    log = logging.getLogger("gleanery")
-    invalid = rows.filter(~valid_labels())  # counting these reads the labels only
-    settled = [rows.filter(valid_labels())]
+    settled, rounds = _rounds(rows.filter(~valid_labels()), labeler, params, rules, inputs, sanitise, samples, parallelism, sleep)
+    out = rows.filter(valid_labels())
+    for part in settled:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return Repaired(out, rounds)
+
+
+def repair_delta(
+    base: DataFrame,
+    labeler: Labeler | str,
+    params: LabelingParams = LabelingParams(),
+    rules: LabelRules = LabelRules(),
+    inputs: Sequence[str] = ("text",),
+    sanitise: bool = True,
+    samples: int = 10,
+    parallelism: int | None = None,
+    sleep: Callable[[float], None] = time.sleep,
+) -> Repaired:
+    """As ``repair``, of which only the rows that were invalid are returned, with their places in *base*.
+
+    *base* is a stored parquet table; ``deltas.merged`` gives the repaired one.
+    """
+    settled, rounds = _rounds(placed(base).filter(~valid_labels()), labeler, params, rules, inputs, sanitise, samples, parallelism, sleep)
+    out = placed(base).limit(0)
+    for part in settled:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return Repaired(out, rounds)
+
+
+def _rounds(invalid, labeler, params, rules, inputs, sanitise, samples, parallelism, sleep) -> tuple[list[DataFrame], DataFrame]:
+    """What *invalid* rows become, in parts, and what each round found."""
+    log, spark = logging.getLogger("gleanery"), invalid.sparkSession
+    settled: list[DataFrame] = []
     rounds: list[tuple[int, int, int, int]] = []
     for turn in range(1, params.max_rounds + 1):
         bad_primary = F.count_if(~is_label(F.col("primary"), PRIMARY_LABELS))
@@ -133,10 +164,7 @@ def repair(
     else:
         log.warning("stopped after %d validation rounds; invalid labels may remain", params.max_rounds)
         settled.append(invalid)
-    out = settled[0]
-    for part in settled[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return Repaired(out, rows.sparkSession.createDataFrame(rounds, _ROUNDS))
+    return settled, spark.createDataFrame(rounds, _ROUNDS)
 
 
 def _relabel(invalid, labeler, params, rules, inputs, sanitise, sleep) -> DataFrame:

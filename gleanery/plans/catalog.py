@@ -36,7 +36,7 @@ from gleanery.operators.ledger import Ledger
 from gleanery.operators.ordering import first_n, top_recent, with_dense_index
 from gleanery.operators.prepare import prepare
 from gleanery.operators.split import split_counts, split_quotas, stratified_split
-from gleanery.operators.validation import repair, validate, validation_report
+from gleanery.operators.validation import repair, repair_delta, validate, validation_report
 from gleanery.params import CleaningParams, FeedParams, LabelingParams, LabelRules
 from gleanery.plans import inputs
 from gleanery.plans.flow import FlowParams, run_all
@@ -49,6 +49,7 @@ from gleanery.schemas import (
     UNLABELED,
 )
 from gleanery.sources.artefacts import Artefacts, read_artefact, write_csv
+from gleanery.sources.deltas import merged
 from gleanery.sources.ranges import scan_csv_split, scan_json_split
 from gleanery.sources.readers import json_key_profile, rows_per_file, scan_csv, scan_json, scan_pages, scan_records, split_bad
 from gleanery.sources.scratch import scratch_path, written
@@ -496,6 +497,21 @@ def repair_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(rows, hesitant_labeler, params, inputs=("text", "primary"), sanitise=False).rounds
 
 
+@query(
+    f"""WITH {inputs.LABELED_TEXTS}
+SELECT doc_id, CASE WHEN {_VALID} THEN "primary" ELSE {_BY_LENGTH[0]} END AS "primary",
+       CASE WHEN {_VALID} THEN secondary ELSE {_BY_LENGTH[1]} END AS secondary, NOT ({_VALID}) AS rewritten
+FROM labeled_texts"""
+)
+def repair_merge_on_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table and the delta of its repair, which alone is written; what the delta rewrote is told by its key."""
+    base = written(inputs.labeled_texts(spark, sf_dir), "labeled")
+    delta = written(repair_delta(base, length_labeler, LabelingParams(batch_pause=0)).rows, "delta")
+    changed = delta.select("doc_id", F.lit(True).alias("rewritten"))
+    rows = merged(base, delta).join(changed, "doc_id", "left")
+    return rows.select("doc_id", "primary", "secondary", F.coalesce("rewritten", F.lit(False)).alias("rewritten"))
+
+
 @query(f"""WITH {_STRATA}, {_quotas('strata')} SELECT "primary", n, n_train, n - n_train AS n_test FROM quotas""")
 def split_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_quotas(inputs.strata(spark, sf_dir))

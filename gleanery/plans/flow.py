@@ -14,10 +14,11 @@ from gleanery.operators.labeling import RULES, Labeler, label
 from gleanery.operators.ledger import Ledger
 from gleanery.operators.prepare import prepare
 from gleanery.operators.split import stratified_split
-from gleanery.operators.validation import repair
+from gleanery.operators.validation import repair_delta
 from gleanery.params import CleaningParams, FeedParams, LabelingParams, LabelRules, SplitParams
 from gleanery.sources.artefacts import Artefacts
 from gleanery.sources.commits import Stages, source_identity
+from gleanery.sources.deltas import store_delta
 from gleanery.sources.readers import BAD, split_bad, with_flat_order
 
 
@@ -103,7 +104,8 @@ def run_labeling(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Labeled rows, and the repaired ones unless validation is off or nothing is there.
 
-    The manifest counts the rows that a user's labeler gave no label, where there are any.
+    The manifest counts the rows that a user's labeler gave no label, where there are any.  Repaired
+    rows are stored as a delta of the labeled table, which ``read_table`` merges.
     """
     path = out.path("labeled")
     asked = Observation("labels") if callable(labeler) else None
@@ -116,12 +118,12 @@ def run_labeling(
         out.store("labeled_json", labeled, "json")
     fixed = None
     if params.validate and out.rows["labeled"]:
-        repaired = repair(labeled, labeler, params.labeling, params.rules)
+        repaired = repair_delta(labeled, labeler, params.labeling, params.rules)
         if repaired.rounds.filter("n_invalid > 0").isEmpty():
             out.note("fixed", path, out.rows["labeled"])  # nothing to repair: the same table, not a copy
             fixed = labeled
         else:
-            fixed = out.store("fixed", repaired.rows)
+            fixed = store_delta(out, "fixed", "labeled", repaired.rows)
         if export:
             out.store("fixed_json", fixed, "json")
     return labeled, fixed

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.sources.artefacts import RUN, Artefacts
+from gleanery.sources.deltas import read_table
 
 
 def source_identity(rows: DataFrame | None) -> str:
@@ -68,7 +69,7 @@ class Stages:
 
     def table(self, name: str) -> DataFrame | None:
         """A parquet artefact of this run, None if it has none of the name."""
-        return self.out.spark.read.parquet(self.out.paths[name]) if name in self.out.paths else None
+        return read_table(self.out.spark, self.out.paths[name]) if name in self.out.paths else None
 
     def _file(self, path: str):
         found = self.out.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from gleanery.operators.align import lenient
 from gleanery.schemas import FEED_PAGE, LABELED, UNIFIED
+from gleanery.sources.deltas import read_table
 
 Paths = str | list[str]
 
@@ -105,7 +106,7 @@ def scan_table(spark: SparkSession, path: str, file_format: str = "auto") -> Dat
         return with_order(scan_csv(spark, path))
     if file_format in ("json", "json-array"):
         return scan_json(spark, path, None, file_format == "json-array", extra=True)
-    return spark.read.format(file_format).load(path)
+    return read_table(spark, path) if file_format == "parquet" else spark.read.format(file_format).load(path)
 
 
 def scan_merged(spark: SparkSession, path: Paths, encoding: str = "utf-8") -> DataFrame:
