@@ -74,23 +74,31 @@ def align(raw: DataFrame, platform: str, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def keep_first(rows: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+def with_place(stored: DataFrame) -> DataFrame:
+    """*stored*, read from parquet, with the place of each row as _file and _row."""
+    return stored.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+
+def keep_first(rows: DataFrame, key: str, order_by: Sequence[str], placed: bool = False) -> DataFrame:
     """The first row per *key* in *order_by* order; NULL and empty keys are one group.
 
     Rows are stored, so that each has a place: of rows that tie the first stored stays,
     and a loser is taken out by its place, which no other row has.  Keys held
-    more than once and what they lose are found on keys, order and place alone.  Where losers
-    are few Spark broadcasts them and whole rows don't move.  A key held by a third of
+    more than once and what they lose are found on keys, order and place alone.  A key held by a third of
     all rows is no heavier than any other, since each task hands on one row per key.
+
+    *placed* rows are stored already and have ``with_place``'s columns.  Their losers are stored before whole
+    rows are read: Spark then sees how few there are, and broadcasts them instead of shuffling the rows.
     """
-    stored = written(rows, "rows")
-    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
-    narrow = stored.select(F.nullif(F.col(key).cast("string"), F.lit("")).alias("_key"), F.struct(*order_by).alias("_order"), *place)
+    at_place = rows if placed else with_place(written(rows, "rows"))
+    narrow = at_place.select(F.nullif(F.col(key).cast("string"), F.lit("")).alias("_key"), F.struct(*order_by).alias("_order"), "_file", "_row")
     at = F.struct("_order", "_file", "_row")
     first = narrow.groupBy("_key").agg(F.min(at).alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
     later = (F.col("_file") != F.col("_first._file")) | (F.col("_row") != F.col("_first._row"))
     lost = narrow.join(first, narrow["_key"].eqNullSafe(first["_key"])).filter(later).select("_file", "_row")
-    return stored.select("*", *place).join(lost, ["_file", "_row"], "left_anti").select(*rows.columns)
+    if placed:
+        lost = written(lost, "lost", compact=True)
+    return at_place.join(lost, ["_file", "_row"], "left_anti").drop("_file", "_row")
 
 
 def union_reviews(
@@ -111,16 +119,24 @@ def merge_reviews(
     google: DataFrame | None = None,
     app_store: DataFrame | None = None,
     order_by: Sequence[str] = (ORDER,),
+    stored: bool = False,
 ) -> DataFrame:
     """Unified table with one row per ``reviewId``.
 
     Of several rows with one id the first platform's wins, within a platform
     the first in *order_by*, and of rows equal in it any one.  The readers add ``src_order``, which is
     the order in the source files; columns of the unified schema are taken as they are there.
+    *stored*: both tables are parquet as read, whose rows have places without being written again.
     """
     if google is None and app_store is None:
         return union_reviews()
-    rows = union_reviews(google, app_store, keep=[c for c in order_by if c not in UNIFIED.names])
+    keep = [c for c in order_by if c not in UNIFIED.names]
+    if stored:
+        google, app_store = (None if side is None else with_place(side) for side in (google, app_store))
+        keep += ["_file", "_row"]
+    rows = union_reviews(google, app_store, keep=keep)
     rank = F.when(F.col("platform") == GOOGLE_PLAY, 0).otherwise(1)
     ranked = rows.withColumn("_rank", rank)
-    return keep_first(ranked, "reviewId", ["_rank", *order_by]).select(*UNIFIED.names)
+    if not stored:
+        ranked = with_place(written(ranked, "rows"))
+    return keep_first(ranked, "reviewId", ["_rank", *order_by], placed=True).select(*UNIFIED.names)

@@ -77,11 +77,12 @@ def run_merge(
     app_store: DataFrame | None,
     export: bool = False,
     required: bool = True,
+    stored: bool = False,
 ) -> DataFrame:
-    """Unified table, stored.  On its own it needs at least one input."""
+    """Unified table, stored.  On its own it needs at least one input; *stored* inputs are parquet tables as read."""
     if required and google is None and app_store is None:
         raise ValueError("give at least one platform's table")
-    merged = out.store("merged", merge_reviews(google, app_store))
+    merged = out.store("merged", merge_reviews(google, app_store, stored=stored))
     if export:
         out.store("merged_csv", merged, "csv")
     return merged
@@ -175,7 +176,7 @@ def run_all(
     read = (source_identity(records), source_identity(pages)) if resume or run_id else None
     stages.run("land", (read, tuple(failed), params.feed, params.export), land)
     google, app_store = stages.table("google_play"), stages.table("app_store")
-    stages.run("merge", params.export, lambda: run_merge(out, google, app_store, params.export, required=False))
+    stages.run("merge", params.export, lambda: run_merge(out, google, app_store, params.export, required=False, stored=True))
     stages.run("prepare", (params.cleaning, params.export), lambda: run_prepare(out, stages.table("merged"), params.cleaning, params.export))
     asked = f"{labeler.__module__}:{labeler.__qualname__}" if hasattr(labeler, "__qualname__") else repr(labeler)
     stages.run(

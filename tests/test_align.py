@@ -1,8 +1,10 @@
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from gleanery.operators import align as align_module
 from gleanery.operators.align import (
     align,
     keep_first,
@@ -12,6 +14,7 @@ from gleanery.operators.align import (
     union_reviews,
 )
 from gleanery.schemas import GOOGLE_PLAY_RAW, UNIFIED
+from gleanery.sources.scratch import written
 
 RAW = "reviewId string, userName string, rating int, date string, content string, n int"
 
@@ -130,3 +133,24 @@ def test_project_records(spark):
     got = project_records(spark.createDataFrame([("c", 1)], "content string, extra int"))
     assert got.columns == GOOGLE_PLAY_RAW.names
     assert tuple(got.first()) == (None, None, None, None, "c", None, None)
+
+
+def test_rows_stay_where_they_lie(spark, plan_of, tmp_path, monkeypatch):
+    """Stored tables aren't written again, and losers are stored first, so that a large table isn't shuffled for a few of them."""
+    rows = [(f"k{i}", f"{i} " + hashlib.md5(str(i).encode()).hexdigest() * 8) for i in range(3000)]
+    raw(spark, *rows, ("k1", "again"), ("k2", "again")).write.parquet(str(tmp_path / "google"))
+    raw(spark, ("k3", "other side"), ("x", "only here")).write.parquet(str(tmp_path / "app_store"))
+    names = []
+    monkeypatch.setattr(align_module, "written", lambda rows, name, **options: names.append(name) or written(rows, name, **options))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50k")
+    try:
+        sides = [spark.read.parquet(str(tmp_path / name)) for name in ("google", "app_store")]
+        plain = merge_reviews(*sides, order_by=["n"])
+        assert names == ["rows", "lost"]
+        stored = merge_reviews(*sides, order_by=["n"], stored=True)
+        assert names[2:] == ["lost"]
+        for merged in (plain, stored):
+            assert "BroadcastHashJoin" in plan_of(merged) and "hashpartitioning" not in plan_of(merged)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert stored.count() == 3001 and sorted(stored.collect()) == sorted(plain.collect())
