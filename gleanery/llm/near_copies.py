@@ -1,33 +1,36 @@
-"""Near copies by exact Jaccard similarity of word shingles, found through min-hash bands.
+"""Near copies by exact Jaccard similarity of word shingles, found through SimHash and min-hash bands.
 
-Texts with the same set of shingles are one node.  Each node's set is hashed by
-``BANDS * ROWS`` min-hashes; two nodes are compared if all hashes of some band agree, which
+Texts with the same set of shingles are one node.  Nodes whose SimHash fingerprints are equal or
+within a few bits (``simhash.links``, by the generalised pigeonhole principle) are compared first.  At a similarity of
+0.8 most pairs differ in more bits than that, so each node's set is hashed by
+``BANDS * ROWS`` min-hashes too; two nodes are compared if all hashes of some band agree, which
 two sets of similarity s miss by chance (1 - s ** ROWS) ** BANDS: one in 39,000 at 0.8.
 Compared means that the sets themselves are intersected; nothing is linked on hashes.
 Before the sets are shipped, a pair's marks are: one bit for the parity of the shingles of each of
 ``MARKS`` classes.  Two sets differ in at least as many shingles as marks, so that
 pairs whose marks differ in more than the similarity allows are none, for certain.
 
-A band value that few nodes share has all its pairs compared.  In a crowded one the nodes
-are compared with a leader first.  Only nodes that this leaves outside the
-value's main component are then compared with the nodes of other components, so of
-two similar nodes that share a band both end in one component, without the
-pairs of a large group being listed.
+In every band value the nodes are compared with a leader first, the node that is met in most bands.  Only nodes
+that this leaves outside the value's main component are then compared with the nodes of other
+components, so of two similar nodes that share a band both end in one component, without the
+sets of a large group being shipped pair by pair.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanery.llm import simhash
 from gleanery.llm.components import components
-from gleanery.llm.simhash import first_of_groups
 from gleanery.llm.words import forget
 from gleanery.sources.scratch import written
 
@@ -35,7 +38,7 @@ WORDS, PERCENT = 5, 80
 BANDS, ROWS = 20, 4
 #: Bits of a set's marks, which tell sets apart up to some 4,000 shingles; beyond, the sets themselves do.
 MARKS = 2048
-#: A band value is crowded with more nodes than this; leaders are named while more than this many pairs a node remain, in so many rounds at most.
+#: Leaders are named while more than this many pairs an entry remain, in so many rounds at most.
 CROWDED, LEADERS = 32, 4
 
 _random = np.random.default_rng(11)
@@ -113,60 +116,74 @@ def _marks(hashes: np.ndarray) -> np.ndarray:
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of *pairs* (hub, node) whose sets share at least *percent* of their union."""
-    marked, whole = sets.select("node", "n", "marks"), sets.select("node", "shingles")
-    near = pairs.distinct().join(marked.toDF("node", "n", "marks"), "node").join(marked.toDF("hub", "hub_n", "hub_marks"), "hub")
-    apart = F.aggregate(F.zip_with("marks", "hub_marks", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-    near = near.filter((100 + percent) * apart.cast("bigint") <= (100 - percent) * (F.col("n") + F.col("hub_n")).cast("bigint")).select("hub", "node")
-    of_node, of_hub = whole.toDF("node", "own"), whole.toDF("hub", "other")
+    whole, near = sets.select("node", "shingles"), written(pairs.distinct(), "pairs", compact=True)
     both = F.size("own") + F.size("other")
     shared = F.size(F.array_intersect("own", "other"))
+    # Stored pairs let Spark see how few they are, so that sets which none of them needs don't move.
+    of_hub = whole.toDF("hub", "other").join(near.select("hub").distinct(), "hub", "left_semi")
     # Many pairs may have one hub, so its set is joined last, where Spark can split the pairs.
-    joined = near.join(of_node, "node").join(of_hub, "hub")
+    joined = near.join(whole.toDF("node", "own"), "node").join(of_hub, "hub")
     return joined.filter((100 + percent) * shared.cast("bigint") >= percent * both).select(F.col("hub").alias("a"), F.col("node").alias("b"))
 
 
-def _candidates(seekers: DataFrame, rooted: DataFrame, percent: int) -> DataFrame:
-    """Pairs (hub, node) of *seekers* (band, hub, hub_n, hub_root) with the band's nodes of other components, where sizes allow."""
+def _may_be_similar(percent: int) -> Column:
+    """Whether sizes and marks of (n, marks) and (hub_n, hub_marks) allow the similarity."""
     sizes = 100 * F.least("n", "hub_n").cast("bigint") >= percent * F.greatest("n", "hub_n")
-    met = seekers.join(rooted, "band").filter((F.col("root") != F.col("hub_root")) & sizes)
-    return met.select("hub", "node")
+    apart = reduce(add, (F.bit_count(F.col("marks")[i].bitwiseXOR(F.col("hub_marks")[i])) for i in range(MARKS // 64)))
+    return sizes & ((100 + percent) * apart.cast("bigint") <= (100 - percent) * (F.col("n") + F.col("hub_n")).cast("bigint"))
+
+
+def _as_hub(rows: DataFrame, *more: str) -> DataFrame:
+    return rows.select("band", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("marks").alias("hub_marks"), F.col("root").alias("hub_root"), *more)
+
+
+def _alike(nodes: DataFrame) -> DataFrame:
+    """Pairs (hub, node) of *nodes* (node, fp) with equal or linked fingerprints, each fingerprint's least node being its hub."""
+    hubs = written(nodes.groupBy("fp").agg(F.min("node").alias("hub"), F.count("*").alias("n")), "hubs")
+    equal = nodes.join(hubs.filter("n > 1"), "fp").select("hub", "node")
+    linked = simhash.links(hubs.select("fp"))
+    a, b = hubs.select(F.col("fp").alias("a"), "hub"), hubs.select(F.col("fp").alias("b"), F.col("hub").alias("node"))
+    return equal.unionByName(linked.join(a, "a").join(b, "b").select("hub", "node")).filter("hub <> node")
 
 
 def links(nodes: DataFrame, sets_of, percent: int = PERCENT) -> DataFrame:
-    """Edges (a, b) that connect all of *nodes* (node, n, bands) that share a band and at least *percent* of their union.
+    """Edges (a, b) that connect all of *nodes* (node, n, bands, fp) that share a band, or whose fingerprints are linked, and at least *percent* of their union.
 
     Every edge is verified.  *sets_of* gives rows (node, shingles, n, marks) for the nodes of a table.
     """
-    entries = nodes.select("node", "n", F.explode("bands").alias("band"))
+    alike = written(_alike(nodes.select("node", "fp")), "alike")
+    entries = nodes.select("node", F.explode("bands").alias("band"))
     size = entries.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
-    met = written(entries.join(size, "band"), "bands")
-    sets = written(sets_of(met.select("node").distinct()), "sets")
-    few, crowd = met.filter(F.col("size") <= CROWDED), met.filter(F.col("size") > CROWDED).select("band", "node", "n")
-    seek = few.select("band", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("node").alias("hub_root"))
-    pairs = _candidates(seek, few.withColumn("root", F.col("node")), percent).filter("hub < node")
-    crowded = crowd.count()
-    rooted = crowd.withColumn("root", F.col("node"))
-    if crowded:
-        first = crowd.groupBy("band").agg(F.min_by(F.struct("node", "n"), F.xxhash64("node")).alias("first"))
-        leaders = first.select("band", F.col("first.node").alias("hub"), F.col("first.n").alias("hub_n"), F.col("first.node").alias("hub_root"))
-        pairs = pairs.unionByName(_candidates(leaders, rooted, percent))
-    found = written(_similar(pairs, sets, percent), "links")
-    for lead in range(1, LEADERS + 1) if crowded else ():
-        roots = components(found).withColumnRenamed("root", "_root")
-        rooted = written(crowd.join(roots, "node", "left").withColumn("root", F.coalesce("_root", "node")).drop("_root"), "rooted")
+    shared = written(entries.join(size, "band"), "bands")
+    wanted = shared.select("node").unionByName(alike.select("node")).unionByName(alike.select(F.col("hub").alias("node"))).distinct()
+    sets = written(sets_of(wanted), "sets")
+    marked = sets.select("node", "n", "marks")
+    often = shared.groupBy("node").agg(F.count("*").alias("often"))
+    met = written(shared.select("band", "node").join(marked.join(often, "node"), "node"), "met")
+    as_hubs = marked.toDF("hub", "hub_n", "hub_marks")
+    near = alike.join(marked, "node").join(as_hubs, "hub").filter(_may_be_similar(percent)).select("hub", "node")
+    found = written(_similar(near, sets, percent), "links")
+    n_entries = met.count()
+    for lead in range(LEADERS + 1) if n_entries else ():
+        roots = written(components(found).withColumnRenamed("root", "_root"), "roots")
+        rooted = met.join(roots, "node", "left").withColumn("root", F.coalesce("_root", "node")).drop("_root")
         parts = rooted.groupBy("band", "root").agg(F.count("*").alias("k"))
         main = parts.groupBy("band").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.sum("k").alias("all"), F.max("k").alias("most")).filter("all > most")
+        main = written(main, "main")
         outside = rooted.join(main, "band").filter("root <> main")
         left = outside.agg(F.count("*").alias("n"), F.sum("all").alias("pairs")).first()
         if not left.n:
             break
-        last = lead == LEADERS or left.pairs <= CROWDED * crowded
-        if last:  # all that is left to compare
-            seek = outside.select("band", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("root").alias("hub_root"))
+        last = lead == LEADERS or (lead and left.pairs <= CROWDED * n_entries)
+        if last:  # all that is left to compare, of two nodes outside once
+            met_by = _as_hub(outside, "main").join(rooted, "band").filter((F.col("root") == F.col("main")) | (F.col("hub") < F.col("node")))
         else:
-            first = outside.groupBy("band").agg(F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(lead))).alias("first"))
-            seek = first.select("band", F.col("first.node").alias("hub"), F.col("first.n").alias("hub_n"), F.col("first.root").alias("hub_root"))
-        found = found.unionByName(written(_similar(_candidates(seek, rooted, percent), sets, percent), "links"))
+            rank = F.xxhash64("node", F.lit(lead)) if lead else F.struct(-F.col("often"), F.xxhash64("node"))
+            of_band = outside if lead else rooted.join(main.select("band"), "band", "left_semi")
+            leaders = of_band.groupBy("band").agg(F.min_by(F.struct("node", "n", "marks", "root"), rank).alias("first")).select("band", "first.*")
+            met_by = _as_hub(leaders).join(rooted, "band")
+        met_by = met_by.filter((F.col("root") != F.col("hub_root")) & _may_be_similar(percent))
+        found = found.unionByName(written(_similar(met_by.select("hub", "node"), sets, percent), "links"))
         if last:
             break
     return found
@@ -178,18 +195,21 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
     Two texts whose distinct shingles of *words* words share at least *percent* of their union are
     near copies, and groups are what near copies connect.  Blank and NULL texts are one
     group.  Of rows repeated with the least key one stays.  Columns stay as they
-    were; *docs* must have no column _node, _n or _bands.
+    were; *docs* must have no column _fp, _node, _n or _bands.
     """
-    stored = written(_sketched(docs, text, words), "documents")
+    stored = written(_sketched(simhash.fingerprints(docs, text, "_fp", words), text, words), "documents")
     spot = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
     rows = stored.select(F.col(key).alias("key"), F.col("_node").alias("node"), *spot)
-    narrow = stored.select(F.col("_node").alias("node"), F.col("_n").alias("n"), F.col("_bands").alias("bands"), *spot)
-    nodes = written(narrow.groupBy("node").agg(F.min(F.struct("_file", "_row")).alias("place"), F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
+    narrow = stored.select(F.col("_node").alias("node"), F.col("_n").alias("n"), F.col("_bands").alias("bands"), F.col("_fp").alias("fp"), *spot)
+    # Equal sets may have different fingerprints, as these count repeats.
+    firsts = [F.first("n").alias("n"), F.first("bands").alias("bands"), F.min("fp").alias("fp")]
+    nodes = written(narrow.groupBy("node").agg(F.min(F.struct("_file", "_row")).alias("place"), *firsts), "nodes")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
-        places = nodes.join(wanted, "node").select("node", "place._file", "place._row")
+        # Stored, so that Spark sees how few they are before it would shuffle the texts.
+        places = written(nodes.join(wanted, "node").select("node", "place._file", "place._row"), "places", compact=True)
         return _sets(stored.select(F.col(text).alias("text"), *spot).join(places, ["_file", "_row"]).select("node", "text"), words)
 
-    found = components(links(nodes.filter("n > 0").select("node", "n", "bands"), sets_of, percent))
+    found = components(links(nodes.filter("n > 0").select("node", "n", "bands", "fp"), sets_of, percent))
     placed = rows.join(found, "node", "left").withColumn("root", F.coalesce("root", "node")).drop("node")
-    return first_of_groups(stored, placed, spot).select(*docs.columns)
+    return simhash.first_of_groups(stored, placed, spot).select(*docs.columns)

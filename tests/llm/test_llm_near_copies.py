@@ -4,6 +4,7 @@ import itertools
 import random
 from fractions import Fraction
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -83,3 +84,15 @@ def test_threshold_is_met_exactly(spark):
     want = kept_by_brute_force(rows)
     assert similarity(shingles(rows[0][1]), shingles(rows[1][1])) == Fraction(4, 5) and want == [0]
     assert [r["doc_id"] for r in near_copies.keep_one(df).collect()] == want
+
+
+def test_linked_fingerprints_are_compared(spark):
+    """Near copies that share no band are met through equal or linked fingerprints, and compared exactly."""
+    base = np.arange(100, dtype=np.int64)
+    sets = {1: base, 2: base[:90], 3: base[5:], 4: base + 1000, 5: base + 2000, 6: base[:95]}
+    fps = {1: 0, 2: 3, 3: 0, 4: 0, 5: 1 << 40, 6: -1}  # 4 is no copy, 6 is one that only a band would tell
+    nodes = spark.createDataFrame([(k, len(v), [1000 * k + i for i in range(20)], fps[k]) for k, v in sets.items()], "node long, n int, bands array<long>, fp long")
+    rows = [(k, v.tolist(), len(v), near_copies._marks(v).tolist()) for k, v in sets.items()]
+    held = spark.createDataFrame(rows, "node long, shingles array<long>, n int, marks array<long>")
+    found = near_copies.links(nodes, lambda wanted: held.join(wanted, "node")).collect()
+    assert {frozenset((r["a"], r["b"])) for r in found} == {frozenset((1, 2)), frozenset((1, 3))}
