@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -18,6 +19,9 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 #: once; characters of text taken at once.
 CACHED, AT_ONCE, SLICE = 400_000, 50_000, 1_000_000
 
+#: A word of Latin letters: normalising only lowers it, letter by letter, and it is not split before its merges; words given to the library as one text.
+_PLAIN, TOGETHER = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+"), 64
+
 #: Pattern of a byte-level vocabulary, None for one that drops white space.
 PATTERNS = {os.path.basename(BYTE_BPE): whole_spaces(public_tokenizers.PATTERN), os.path.basename(WORD_BPE): None}
 
@@ -30,12 +34,20 @@ class Encoder:
 
     def __init__(self, path: str, pattern, cached: int = CACHED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         self._special = [t.content.lower() for t in self._tokenizer.get_added_tokens_decoder().values()]
         self.size = self._tokenizer.get_vocab_size()
-        self._by_parts = Parts(self.encode_parts, pattern, cached).encode
+        self._ends = None
+        if suffix := getattr(self._tokenizer.model, "end_of_word_suffix", None):  # each word's last token tells that it is the last
+            vocabulary = self._tokenizer.get_vocab()
+            self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self._ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+            self._plain = Tokenizer(self._tokenizer.model)
+            self._plain.normalizer = normalizers.Lowercase()
+            self._plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self._by_parts = Parts(self.encode_parts if self._ends is None else self.encode_words, pattern, cached).encode
 
     def encode(self, texts: list[str]) -> list[bytes]:
         whole = {i for i, t in enumerate(texts) if any(s in t or s in t.lower() for s in self._special)} if self._special else ()
@@ -55,6 +67,21 @@ class Encoder:
             out += [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)]
         return out
 
+    def encode_words(self, parts: list[str]) -> list[bytes]:
+        """As ``encode_parts``; plain words are given together, and their ids cut behind the tokens that end words."""
+        plain = [p for p in parts if _PLAIN.fullmatch(p)]
+        found = {}
+        for start in range(0, len(plain), AT_ONCE):
+            words = plain[start : start + AT_ONCE]
+            texts = [" ".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
+            coded = self._plain.encode_batch_fast(texts, add_special_tokens=False)
+            ids = np.fromiter(itertools.chain.from_iterable(e.ids for e in coded), "<u4")
+            packed, ends = ids.tobytes(), (4 * (np.flatnonzero(self._ends[ids]) + 1)).tolist()
+            found.update(zip(words, (packed[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
+        other = [p for p in parts if p not in found]
+        found.update(zip(other, self.encode_parts(other), strict=True))
+        return [found[p] for p in parts]
+
 
 def encoder(path: str) -> Encoder:
     """This worker's encoder of the vocabulary at *path*, whose file name tells how texts may be cut."""

@@ -80,6 +80,16 @@ def test_encoder_equals_the_library(path):
     assert [t for t, p in zip(texts, own.encode(texts), strict=True) if np.frombuffer(p, "<u4").tolist() != ids(t)] == []
 
 
+def test_plain_words_go_to_the_library_together(monkeypatch):
+    own, ids = tokens.Encoder(tokens.WORD_BPE, None), library(tokens.WORD_BPE)
+    letters = [chr(c) for c in range(0x250) if tokens._PLAIN.fullmatch(chr(c))]
+    words = [w for c in letters for w in (c, f"a{c}B", c * 3, f"E{c}")] + ["strasse" * 9, "it's", "x1", "\u0130x", "e\u0301", ""]
+    alone, given = own.encode_parts, []
+    monkeypatch.setattr(own, "encode_parts", lambda parts: given.extend(parts) or alone(parts))
+    assert [np.frombuffer(p, "<u4").tolist() for p in own.encode_words(words)] == [ids(w) for w in words]
+    assert given == ["it's", "x1", "\u0130x", "e\u0301", ""]
+
+
 def test_token_files(spark, tmp_path):
     rows = [(k, t) for k, t in zip([7, 3, 3, None, 12, -5], ["b, c", "a" * 3000, "a" * 3000, "null <|endoftext|> key", None, "word " * 9000], strict=True)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
