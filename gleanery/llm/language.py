@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanery.llm.words import forget, slices
+from gleanery.llm.words import forget, slices, tidied
 from gleanery.sources.scratch import written
 
 BUCKETS, PENALTY, SCRIPT_SHARE = 1 << 15, 6.0, 1e-3
@@ -133,7 +133,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> "Model":
             at = np.flatnonzero(counts)
             yield pa.RecordBatch.from_pydict({"lang": pa.array([language] * len(at), pa.string()), "k": at.astype(np.int32), "n": counts[at]})
 
-    sums = rows.mapInArrow(run, "lang string, k int, n bigint").groupBy("lang", "k").agg(F.sum("n").alias("n"))
+    sums = rows.mapInArrow(tidied(run), "lang string, k int, n bigint").groupBy("lang", "k").agg(F.sum("n").alias("n"))
     table = sums.toArrow()
     languages = sorted(set(table["lang"].to_pylist()))
     counts = np.zeros((len(languages), BUCKETS + len(NAMES)))
@@ -241,7 +241,7 @@ def label(docs: DataFrame, model: Model, text: str = "text", penalty: float = PE
                 kept = batch.slice(part.start, part.stop - part.start)
                 yield pa.RecordBatch.from_arrays([*kept.columns, *_labelled(packed, scores, letters, own.languages, penalty, spans, fit)], names=[*batch.schema.names, *(f.name for f in fields)])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *fields]))
+    return rows.mapInArrow(tidied(run), T.StructType([*rows.schema.fields, *fields]))
 
 
 def _labelled(packed: list[bytes], scores: np.ndarray, letters: np.ndarray, languages: list[str], penalty: float, spans: bool, fit: bool) -> list[pa.Array]:

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from gleanery.llm import simhash
 from gleanery.llm.components import components
-from gleanery.llm.words import forget
+from gleanery.llm.words import forget, tidied
 from gleanery.sources.scratch import written
 
 WORDS, PERCENT = 5, 80
@@ -48,16 +48,8 @@ _BAND = np.arange(1, BANDS + 1, dtype=np.uint64)
 
 
 def _shingles(text: str | None, words: int) -> np.ndarray:
-    """The distinct shingles' hashes, sorted; ASCII case and white space don't count, and a shorter text is one shingle."""
-    tokens = (text or "").encode().lower().split()
-    if not tokens:
-        return np.empty(0, np.uint64)
-    if len(tokens) < words:
-        shingles = [b" ".join(tokens)]
-    else:
-        shingles = map(b" ".join, zip(*(tokens[i:] for i in range(words)), strict=False))
-    digest, seed = xxhash.xxh64_intdigest, 42
-    return np.unique(np.fromiter((digest(s, seed) for s in shingles), np.uint64, max(1, len(tokens) - words + 1)))
+    """The shingles' hashes, repeats included; ASCII case and white space don't count, and a shorter text is one shingle."""
+    return simhash.shingle_hashes((text or "").encode(), words)
 
 
 def _bands(hashes: np.ndarray) -> np.ndarray:
@@ -73,24 +65,29 @@ def _bands(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sketched(docs: DataFrame, text: str, words: int) -> DataFrame:
-    """*docs* with _node, which texts with equal sets share, the set's size _n and its _bands."""
+    """*docs* with the fingerprint _fp, _node, which texts with equal sets share, the set's size _n and its _bands.
+
+    One pass makes all of them, as each Python step of a task has a worker of its own and hashes of its own.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         for batch in batches:
             texts = batch.column(text)
-            nodes, sizes = np.empty(batch.num_rows, np.uint64), np.empty(batch.num_rows, np.int32)
+            fps, nodes, sizes = np.empty(batch.num_rows, np.uint64), np.empty(batch.num_rows, np.uint64), np.empty(batch.num_rows, np.int32)
             bands = np.zeros((batch.num_rows, BANDS), np.uint64)
             for i in range(batch.num_rows):
-                found = _shingles(texts[i].as_py(), words)
+                hashes = _shingles(texts[i].as_py(), words)
+                found = np.unique(hashes)
+                fps[i] = simhash.fingerprint_of(hashes)
                 nodes[i], sizes[i] = xxhash.xxh64_intdigest(found.tobytes(), 42), len(found)
                 bands[i] = _bands(found)
             ends = np.arange(0, bands.size + 1, BANDS, dtype=np.int32)
             lists = pa.ListArray.from_arrays(ends, bands.view(np.int64).ravel())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes.view(np.int64)), pa.array(sizes), lists], names=[*batch.schema.names, "_node", "_n", "_bands"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64)), pa.array(nodes.view(np.int64)), pa.array(sizes), lists], names=[*batch.schema.names, *(f.name for f in more)])
 
-    more = [T.StructField("_node", T.LongType()), T.StructField("_n", T.IntegerType()), T.StructField("_bands", T.ArrayType(T.LongType()))]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *more]))
+    more = [T.StructField("_fp", T.LongType()), T.StructField("_node", T.LongType()), T.StructField("_n", T.IntegerType()), T.StructField("_bands", T.ArrayType(T.LongType()))]
+    return docs.mapInArrow(tidied(run), T.StructType([*docs.schema.fields, *more]))
 
 
 def _sets(texts: DataFrame, words: int) -> DataFrame:
@@ -100,13 +97,13 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found = [_shingles(t.as_py(), words).view(np.int64) for t in part.column("text")]
+                found = [np.unique(_shingles(t.as_py(), words)).view(np.int64) for t in part.column("text")]
                 ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
                 marks = pa.FixedSizeListArray.from_arrays(np.concatenate([_marks(f) for f in found]), MARKS // 64).cast(pa.list_(pa.int64()))
                 sizes = pa.array(np.diff(ends))
                 yield pa.RecordBatch.from_arrays([part.column("node"), pa.ListArray.from_arrays(ends, np.concatenate(found)), sizes, marks], names=["node", "shingles", "n", "marks"])
 
-    return texts.mapInArrow(run, "node bigint, shingles array<bigint>, n int, marks array<bigint>")
+    return texts.mapInArrow(tidied(run), "node bigint, shingles array<bigint>, n int, marks array<bigint>")
 
 
 def _marks(hashes: np.ndarray) -> np.ndarray:
@@ -197,7 +194,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
     group.  Of rows repeated with the least key one stays.  Columns stay as they
     were; *docs* must have no column _fp, _node, _n or _bands.
     """
-    stored = written(_sketched(simhash.fingerprints(docs, text, "_fp", words), text, words), "documents")
+    stored = written(_sketched(docs, text, words), "documents")
     spot = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
     rows = stored.select(F.col(key).alias("key"), F.col("_node").alias("node"), *spot)
     narrow = stored.select(F.col("_node").alias("node"), F.col("_n").alias("n"), F.col("_bands").alias("bands"), F.col("_fp").alias("fp"), *spot)

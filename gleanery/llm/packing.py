@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanery.llm.tokens import BYTE_BPE, encoded
+from gleanery.llm.words import tidied
 from gleanery.sources.scratch import written
 
 END, LENGTH = 1, 2048
@@ -84,7 +85,7 @@ def cut(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str
                 columns.append(pa.ListArray.from_arrays(offsets.astype(np.int32), np.frombuffer(b"".join(pieces), "<i4")))
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
 
-    return kept.mapInArrow(run, T.StructType(fields))
+    return kept.mapInArrow(tidied(run), T.StructType(fields))
 
 
 def place(pieces: DataFrame, length: int = LENGTH, group: int = GROUP, seed: int = 42) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanery.llm.words import forget, slices
+from gleanery.llm.words import forget, slices, tidied
 from gleanery.sources.scratch import written
 
 WINDOW, SLICE = 8, 4_000_000
@@ -123,7 +123,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
 
     schema = T.StructType([*rows.schema.fields, *(T.StructField(c, T.LongType()) for c in COUNTS)])
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return rows.mapInArrow(run, schema).withColumn("base_failed", failed)
+    return rows.mapInArrow(tidied(run), schema).withColumn("base_failed", failed)
 
 
 def first_step() -> Column:

@@ -41,16 +41,23 @@ BITS, WORDS, DISTANCE = 64, 3, 2
 FREQUENT, CROWDED, SLICE = 1e-4, 128, 4_000_000
 
 
-def _fingerprint(text: bytes, words: int) -> int:
+def shingle_hashes(text: bytes, words: int) -> np.ndarray:
+    """A hash per shingle of *words* words, repeats included; a shorter text is one shingle, a blank one has none."""
     tokens = text.lower().split()  # ASCII letters and ASCII white space only
     if not tokens:
-        return 0
+        return np.empty(0, np.uint64)
     if len(tokens) < words:
         shingles = [b" ".join(tokens)]
     else:
         shingles = map(b" ".join, zip(*(tokens[i:] for i in range(words)), strict=False))
     digest, seed = xxhash.xxh64_intdigest, 42
-    hashes = np.fromiter((digest(s, seed) for s in shingles), "<u8", max(1, len(tokens) - words + 1))
+    return np.fromiter((digest(s, seed) for s in shingles), "<u8", max(1, len(tokens) - words + 1))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """Bit by bit whether it is set in over half of *hashes*; 0 without any."""
+    if not len(hashes):
+        return 0
     counts = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 65536):
         counts += np.unpackbits(hashes[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -71,7 +78,7 @@ def fingerprints(docs: DataFrame, text: str = "text", into: str = "fp", words: i
             texts = batch.column(text)
             found = np.empty(batch.num_rows, np.uint64)
             for i in range(batch.num_rows):
-                found[i] = _fingerprint((texts[i].as_py() or "").encode(), words)
+                found[i] = fingerprint_of(shingle_hashes((texts[i].as_py() or "").encode(), words))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], names=[*batch.schema.names, into])
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(into, T.LongType())]))

@@ -96,3 +96,15 @@ def test_linked_fingerprints_are_compared(spark):
     held = spark.createDataFrame(rows, "node long, shingles array<long>, n int, marks array<long>")
     found = near_copies.links(nodes, lambda wanted: held.join(wanted, "node")).collect()
     assert {frozenset((r["a"], r["b"])) for r in found} == {frozenset((1, 2)), frozenset((1, 3))}
+
+
+def test_sketch_is_one_python_step(spark, plan_of):
+    texts = [None, "", "a b", "One two three four five six", "one TWO\tthree four five\nsix", "x " * 400]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = near_copies._sketched(df, "text", 5)
+    assert plan_of(got).count("MapInArrow") == 1
+    want = {r["doc_id"]: r["fp"] for r in near_copies.simhash.fingerprints(df, "text", "fp", 5).collect()}
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert {k: r["_fp"] for k, r in rows.items()} == want
+    assert [rows[i]["_n"] for i in range(6)] == [0, 0, 1, 2, 2, 1]
+    assert rows[3]["_node"] == rows[4]["_node"] and rows[3]["_bands"] == rows[4]["_bands"]
