@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.sources.scratch import written
+from gleanery.sources.scratch import discard, scratch_path, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -30,20 +30,24 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """Rows (node, root) for every node of *edges* (a, b): root is the least node that it reaches.
 
-    Large-star and small-star steps alternate until nothing changes; each round's edges are
-    a stored table.  Loops and repeated edges do no harm; no edges give no rows.
+    Large-star and small-star steps alternate until all edges are stars around least nodes; each
+    round's edges are a stored table, which goes with the next one.  Loops and repeated edges do no harm; no edges
+    give no rows.
     """
-    now = written(edges.select("a", "b").filter("a <> b").distinct(), "edges")
-    size = _size(now)
-    while size[0]:
-        new = written(_star(written(_star(now, True), "large"), False), "small")
-        now, before, size = new, size, _size(new)
-        if size == before:
-            break
+    spark = edges.sparkSession
+    path = scratch_path(spark, "edges")
+    now = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", path)
+    while not _stars(now):
+        large, small = scratch_path(spark, "large"), scratch_path(spark, "small")
+        now = written(_star(written(_star(now, True), "large", large), False), "small", small)
+        discard(spark, path, large)
+        path = small
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
-def _size(edges: DataFrame) -> tuple:
-    """Edge count and a checksum, which only repeat when the edges do."""
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node of *edges* (a, b), a above b, is either the lower end of edges or the upper end of one."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("upper")).unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("upper")))
+    met = ends.groupBy("node").agg(F.sum("upper").alias("uppers"), F.min("upper").alias("least"))
+    return met.filter("uppers > 1 OR uppers = 1 AND least = 0").limit(1).count() == 0

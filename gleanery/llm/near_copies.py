@@ -31,8 +31,9 @@ from pyspark.sql import types as T
 
 from gleanery.llm import simhash
 from gleanery.llm.components import components
+from gleanery.llm.places import rows_at
 from gleanery.llm.words import forget, tidied
-from gleanery.sources.scratch import written
+from gleanery.sources.scratch import passing, scratch_path, written
 
 WORDS, PERCENT = 5, 80
 BANDS, ROWS = 20, 4
@@ -131,7 +132,7 @@ def _may_be_similar(percent: int) -> Column:
 
 
 def _as_hub(rows: DataFrame, *more: str) -> DataFrame:
-    return rows.select("band", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("marks").alias("hub_marks"), F.col("root").alias("hub_root"), *more)
+    return rows.withColumnsRenamed({"node": "hub", "n": "hub_n", "marks": "hub_marks", "root": "hub_root"}).select("band", "hub", "hub_n", "hub_root", *more)
 
 
 def _alike(nodes: DataFrame) -> DataFrame:
@@ -156,7 +157,7 @@ def links(nodes: DataFrame, sets_of, percent: int = PERCENT) -> DataFrame:
     sets = written(sets_of(wanted), "sets")
     marked = sets.select("node", "n", "marks")
     often = shared.groupBy("node").agg(F.count("*").alias("often"))
-    met = written(shared.select("band", "node").join(marked.join(often, "node"), "node"), "met")
+    met = written(shared.select("band", "node").join(marked.drop("marks").join(often, "node"), "node"), "met")
     as_hubs = marked.toDF("hub", "hub_n", "hub_marks")
     near = alike.join(marked, "node").join(as_hubs, "hub").filter(_may_be_similar(percent)).select("hub", "node")
     found = written(_similar(near, sets, percent), "links")
@@ -172,14 +173,19 @@ def links(nodes: DataFrame, sets_of, percent: int = PERCENT) -> DataFrame:
         if not left.n:
             break
         last = lead == LEADERS or (lead and left.pairs <= CROWDED * n_entries)
-        if last:  # all that is left to compare, of two nodes outside once
-            met_by = _as_hub(outside, "main").join(rooted, "band").filter((F.col("root") == F.col("main")) | (F.col("hub") < F.col("node")))
+        if last:  # all that is left to compare, of two nodes outside once; marks go to the bands that need them
+            crowd = rooted.join(main.select("band", "main"), "band").join(marked.select("node", "marks"), "node")
+            hubs = _as_hub(crowd.filter("root <> main"), "hub_marks", "main")
+            met_by = hubs.join(crowd.drop("main"), "band").filter((F.col("root") == F.col("main")) | (F.col("hub") < F.col("node")))
+            met_by = met_by.filter((F.col("root") != F.col("hub_root")) & _may_be_similar(percent))
         else:
             rank = F.xxhash64("node", F.lit(lead)) if lead else F.struct(-F.col("often"), F.xxhash64("node"))
             of_band = outside if lead else rooted.join(main.select("band"), "band", "left_semi")
-            leaders = of_band.groupBy("band").agg(F.min_by(F.struct("node", "n", "marks", "root"), rank).alias("first")).select("band", "first.*")
-            met_by = _as_hub(leaders).join(rooted, "band")
-        met_by = met_by.filter((F.col("root") != F.col("hub_root")) & _may_be_similar(percent))
+            leaders = of_band.groupBy("band").agg(F.min_by(F.struct("node", "n", "root"), rank).alias("first")).select("band", "first.*")
+            # A pair meets in many bands, so marks are joined to it, once.
+            pairs = _as_hub(leaders).join(rooted, "band").filter(F.col("root") != F.col("hub_root"))
+            pairs = written(pairs.select("hub", "node").distinct(), "candidates")
+            met_by = pairs.join(marked, "node").join(as_hubs, "hub").filter(_may_be_similar(percent))
         found = found.unionByName(written(_similar(met_by.select("hub", "node"), sets, percent), "links"))
         if last:
             break
@@ -194,19 +200,21 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
     group.  Of rows repeated with the least key one stays.  Columns stay as they
     were; *docs* must have no column _fp, _node, _n or _bands.
     """
-    stored = written(_sketched(docs, text, words), "documents")
-    spot = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
-    rows = stored.select(F.col(key).alias("key"), F.col("_node").alias("node"), *spot)
-    narrow = stored.select(F.col("_node").alias("node"), F.col("_n").alias("n"), F.col("_bands").alias("bands"), F.col("_fp").alias("fp"), *spot)
-    # Equal sets may have different fingerprints, as these count repeats.
-    firsts = [F.first("n").alias("n"), F.first("bands").alias("bands"), F.min("fp").alias("fp")]
-    nodes = written(narrow.groupBy("node").agg(F.min(F.struct("_file", "_row")).alias("place"), *firsts), "nodes")
-
-    def sets_of(wanted: DataFrame) -> DataFrame:
-        # Stored, so that Spark sees how few they are before it would shuffle the texts.
-        places = written(nodes.join(wanted, "node").select("node", "place._file", "place._row"), "places", compact=True)
-        return _sets(stored.select(F.col(text).alias("text"), *spot).join(places, ["_file", "_row"]).select("node", "text"), words)
-
-    found = components(links(nodes.filter("n > 0").select("node", "n", "bands", "fp"), sets_of, percent))
-    placed = rows.join(found, "node", "left").withColumn("root", F.coalesce("root", "node")).drop("node")
-    return simhash.first_of_groups(stored, placed, spot).select(*docs.columns)
+    spark = docs.sparkSession
+    stored, kept = written(_sketched(docs, text, words), "documents"), scratch_path(spark, "gone")
+    with passing(spark):
+        spot = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+        rows = stored.select(F.col(key).alias("key"), F.col("_node").alias("node"), *spot)
+        narrow = stored.select(F.col("_node").alias("node"), F.col("_n").alias("n"), F.col("_bands").alias("bands"), F.col("_fp").alias("fp"), *spot)
+        # Equal sets may have different fingerprints, as these count repeats.
+        firsts = [F.first("n").alias("n"), F.first("bands").alias("bands"), F.min("fp").alias("fp")]
+        nodes = written(narrow.groupBy("node").agg(F.min(F.struct("_file", "_row")).alias("place"), *firsts), "nodes")
+
+        def sets_of(wanted: DataFrame) -> DataFrame:
+            places = nodes.join(wanted, "node").select("place._file", "place._row")
+            return _sets(rows_at(stored, places).select(F.col(text).alias("text"), F.col("_node").alias("node")), words)
+
+        found = components(links(nodes.filter("n > 0").select("node", "n", "bands", "fp"), sets_of, percent))
+        placed = rows.join(found, "node", "left").withColumn("root", F.coalesce("root", "node")).drop("node")
+        out = simhash.first_of_groups(stored, placed, kept)
+    return out.select(*docs.columns)

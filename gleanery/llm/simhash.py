@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanery.llm.components import components
+from gleanery.llm.places import rows_at
 from gleanery.llm.words import slices
 from gleanery.sources.scratch import written
 
@@ -291,14 +292,17 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
     spot = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
     rows = stored.select(F.col(key).alias("key"), F.col("_fp").alias("fp"), *spot)
     placed = rows.join(_classes(rows, distance).select("fp", "root"), "fp")
-    return first_of_groups(stored, placed, spot).select(*docs.columns)
+    return first_of_groups(stored, placed).select(*docs.columns)
 
 
-def first_of_groups(stored: DataFrame, placed: DataFrame, spot: list[Column]) -> DataFrame:
-    """Of each root in *placed* (key, root, _file, _row) the row of *stored* with the least key; *spot* is a row's place."""
+def first_of_groups(stored: DataFrame, placed: DataFrame, path: str | None = None) -> DataFrame:
+    """Of each root in *placed* (key, root, _file, _row) the row of *stored* with the least key.
+
+    The places of the others are stored below *path*, and nothing else is read later.
+    """
     order = F.struct(F.col("key").isNull().alias("last"), "key", "_file", "_row")
     first = placed.groupBy("root").agg(F.min_by(F.struct("_file", "_row"), order).alias("first"), F.count("*").alias("n"))
     # Rows alone in their component, most of all, need no look-up.
     groups = first.filter("n > 1").select("root", "first")
     gone = placed.join(groups, "root").filter("first._file <> _file or first._row <> _row").select("_file", "_row")
-    return stored.select("*", *spot).join(written(gone, "gone"), ["_file", "_row"], "left_anti")
+    return rows_at(stored, gone, inside=False, path=path)
