@@ -21,8 +21,8 @@ CACHED, AT_ONCE, SLICE = 400_000, 50_000, 1_000_000
 
 #: A word of Latin letters: normalising only lowers it, letter by letter, and it is not split before its merges; words given to the library as one text.
 _PLAIN, TOGETHER = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+"), 64
-#: A word of Latin letters behind a blank, and a blank in a byte-level vocabulary.
-_SPACED, _BLANK = re.compile(f" {_PLAIN.pattern}"), "\u0120"
+#: Latin letters, ASCII digits and signs behind one blank or line feed, and how tokens of a byte-level vocabulary begin with these.
+_SPACED, _BLANKS = re.compile("[ \n][!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+"), ("\u0120", "\u010a")
 
 #: Pattern of a byte-level vocabulary, None for one that drops white space.
 PATTERNS = {os.path.basename(BYTE_BPE): whole_spaces(public_tokenizers.PATTERN), os.path.basename(WORD_BPE): None}
@@ -49,9 +49,9 @@ class Encoder:
             self._plain = Tokenizer(self._tokenizer.model)
             self._plain.normalizer = normalizers.Lowercase()
             self._plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        else:  # a blank begins a token, and a word behind one is a match of the pattern by itself
+        else:  # white space begins a token, and no match of the pattern goes on from other characters to white space
             self._starts = np.zeros(max(self._tokenizer.get_vocab().values()) + 1, bool)
-            self._starts[[i for token, i in self._tokenizer.get_vocab().items() if token.startswith(_BLANK)]] = True
+            self._starts[[i for token, i in self._tokenizer.get_vocab().items() if token.startswith(_BLANKS)]] = True
         self._by_parts = Parts(self.encode_spaced if self._ends is None else self.encode_words, pattern, cached).encode
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -88,19 +88,21 @@ class Encoder:
         return [found[p] for p in parts]
 
     def encode_spaced(self, parts: list[str]) -> list[bytes]:
-        """As ``encode_parts``, for a byte-level vocabulary; words behind a blank are given together, and their ids cut before the tokens that begin with one."""
-        spaced = [p for p in parts if _SPACED.fullmatch(p)]
-        found = {}
+        """As ``encode_parts``, for a byte-level vocabulary; parts with white space only at their beginning are given together, and their ids cut before the tokens that begin with it."""
+        is_spaced = list(map(_SPACED.fullmatch, parts))
+        other = iter(self.encode_parts([p for p, spaced in zip(parts, is_spaced, strict=True) if not spaced]))
+        spaced, out = list(itertools.compress(parts, is_spaced)), []
         for start in range(0, len(spaced), AT_ONCE):
             words = spaced[start : start + AT_ONCE]
             texts = ["".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
             coded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             ids = np.fromiter(itertools.chain.from_iterable(e.ids for e in coded), "<u4")
             packed, cuts = ids.tobytes(), [*(4 * np.flatnonzero(self._starts[ids])).tolist(), 4 * len(ids)]
-            found.update(zip(words, (packed[a:b] for a, b in itertools.pairwise(cuts)), strict=True))
-        other = [p for p in parts if p not in found]
-        found.update(zip(other, self.encode_parts(other), strict=True))
-        return [found[p] for p in parts]
+            out += [packed[a:b] for (a, b), _ in zip(itertools.pairwise(cuts), words, strict=True)]
+        if len(out) == len(parts):
+            return out
+        found = iter(out)
+        return [next(found if spaced else other) for spaced in is_spaced]
 
 
 def encoder(path: str) -> Encoder:
