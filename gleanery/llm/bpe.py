@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import re
 import tempfile
 from collections.abc import Iterable, Iterator
 
@@ -38,6 +39,9 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: emptied, and characters of text taken at once.
 WORDS_PER_QUERY, CACHED, SLICE = 60_000, 800_000, 8_000_000
 
+#: What is one match of a pattern by itself: for the usual one, ASCII letters behind at most a blank; for others nothing is sure.
+_WORDS = {public_tokenizers.PATTERN: re.compile(" ?[A-Za-z]+")}
+
 #: Rows of ``state``: the token ``t`` that covers bytes [head, tail) of the batch,
 #: in word ``w``, before token ``n``; ``r``: rank of the two; ``best``: least rank in the word.
 _ENCODE = """
@@ -112,9 +116,11 @@ class Codec:
         self._db.register("given_merges", merges)
         self._db.register("given_tokens", tokens)
         self._db.execute("CREATE TABLE merges AS FROM given_merges; CREATE TABLE tokens AS FROM given_tokens")
-        self._pattern = whole_spaces(pattern)
+        self._pattern, self._word = whole_spaces(pattern), _WORDS.get(pattern, re.compile("(?!)"))
         self._starts, self._most = starts, cached
+        self._decimal = [f" {i}" for i in range(len(starts))]
         self.encode = Parts(self.encode_parts, self._pattern, cached).encode
+        self._trips = Parts(self._trip_parts, self._pattern, cached).of_texts
         self._words: dict[str, bytes] = {}
         self._runs: dict[bytes, bytes] = {}
 
@@ -122,7 +128,7 @@ class Codec:
         """The ids of each part, a part being whole matches of the pattern, as little-endian 32-bit integers."""
         if len(self._words) > self._most:
             self._words.clear()
-        words = [self._pattern.findall(p) for p in parts]
+        words = [[p] if self._word.fullmatch(p) else self._pattern.findall(p) for p in parts]
         unknown = list({w for of_part in words for w in of_part}.difference(self._words))
         self._words.update(zip(unknown, self.encode_words(unknown), strict=True))
         known = self._words
@@ -160,15 +166,33 @@ class Codec:
             cuts = (4 * cuts[cuts > 0]).tolist()
             runs.append([packed[a:b] for a, b in zip([0, *cuts], [*cuts, len(packed)], strict=True)])
         new = list(set().union(*runs).difference(self._runs))
-        if new:
-            ids = pa.ListArray.from_arrays(np.cumsum([0, *map(len, new)], dtype=np.int32) // 4, np.frombuffer(b"".join(new), "<i4"))
-            self._db.register("given", pa.table({"run": np.arange(len(new), dtype=np.int32), "ids": ids}))
-            decoded = self._db.sql(_DECODE).to_arrow_table()
-            found = dict.fromkeys(new, b"")
-            found.update(zip([new[i] for i in decoded["run"].to_pylist()], decoded["bytes"].to_pylist(), strict=True))
-            self._runs.update(found)
+        self._runs.update(zip(new, self.decode_runs(new), strict=True))
         return [b"".join(map(self._runs.__getitem__, of_text)) for of_text in runs]
 
+    def decode_runs(self, runs: list[bytes]) -> list[bytes]:
+        """The bytes of each run of ids, all runs in one query."""
+        found = [b""] * len(runs)
+        if any(runs):
+            ids = pa.ListArray.from_arrays(np.cumsum([0, *map(len, runs)], dtype=np.int32) // 4, np.frombuffer(b"".join(runs), "<i4"))
+            self._db.register("given", pa.table({"run": np.arange(len(runs), dtype=np.int32), "ids": ids}))
+            decoded = self._db.sql(_DECODE).to_arrow_table()
+            for run, value in zip(decoded["run"].to_pylist(), decoded["bytes"].to_pylist(), strict=True):
+                found[run] = value
+        return found
+
+    def round_trip(self, texts: list[str]) -> tuple[list[bytes], list[str], list[bytes]]:
+        """The ids of each text, packed and as decimals behind a blank each, and the bytes that these ids decode to.
+
+        What the texts' parts give is put together, each distinct part encoded, and its ids decoded, once.
+        """
+        found = self._trips(texts)
+        return tuple([empty.join([p[i] for p in of_text]) for of_text in found] for i, empty in enumerate((b"", "", b"")))
+
+    def _trip_parts(self, parts: list[str]) -> list[tuple[bytes, str, bytes]]:
+        coded = self.encode_parts(parts)
+        spelled = ["".join([self._decimal[i] for i in ids]) for ids in (np.frombuffer(c, "<i4").tolist() for c in coded)]
+        return list(zip(coded, spelled, self.decode_runs(coded), strict=True))
+
 
 def codec(path: str = RANKS) -> Codec:
     """This worker's codec of the vocabulary at *path*; it outlives a task."""
@@ -231,16 +255,14 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", ranks: str
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks)
-        decimal = [str(i) for i in range(len(own._starts))]
         for batch, texts in _batches(batches, text):
-            packed = own.encode(texts)
-            spelled = (" ".join([decimal[i] for i in np.frombuffer(p, "<i4").tolist()]) for p in packed)
+            packed, spelled, decoded = own.round_trip(texts)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(key),
                     pa.array([len(p) // 4 for p in packed], pa.int64()),
-                    pa.array([hashlib.sha256(s.encode()).hexdigest() for s in spelled]),
-                    pa.array([hashlib.sha256(b).hexdigest() for b in own.decode(packed)]),
+                    pa.array([hashlib.sha256(s[1:].encode()).hexdigest() for s in spelled]),
+                    pa.array([hashlib.sha256(b).hexdigest() for b in decoded]),
                 ],
                 names=[key, "n_tokens", "ids_sha256", "decoded_sha256"],
             )
