@@ -5,7 +5,7 @@ import random
 import numpy as np
 from tokenizers import Tokenizer
 
-from gleanery.llm import tokens
+from gleanery.llm import tokens, words
 
 
 class Counting:
@@ -29,3 +29,22 @@ def test_words_are_given_together_with_the_same_ids():
     counting = own._tokenizer = Counting(own._tokenizer)
     own.encode(["".join(words)])
     assert counting.given < len(words) / 20
+
+
+def test_signs_digits_and_lines_are_given_together_with_the_same_ids():
+    rng = random.Random(4)
+    parts = [rng.choice(" \n") + "".join(rng.choices("abcÀß019$&*'-_~", k=rng.randrange(1, 9))) for _ in range(2000)]
+    parts += ["a", " ", "\n\n", " a b", " ×", "\t1", ",", " é\n", "\x1c", " 中", "\n 1"]
+    own = tokens.Encoder(tokens.BYTE_BPE, tokens.PATTERNS["byte_bpe_50k.json"])
+    want = own.encode_parts(parts)
+    counting = own._tokenizer = Counting(own._tokenizer)
+    assert own.encode_spaced(parts) == want
+    assert counting.given < len(parts) / 20
+
+
+def test_parts_met_since_the_last_time_stay_known():
+    given = []
+    parts = words.Parts(lambda new: (given.extend(new), [p.encode() for p in new])[1], None, 8)
+    for i in range(20):
+        parts.encode([f"often a{i} b{i} c{i}"])
+    assert given.count("often") == 1
