@@ -146,3 +146,56 @@ def test_bytes_before_symbols_are_gathered_once_for_all_kinds(monkeypatch):
         mixer.learn(edges, tries, kind, edges.weights(counts[kind]), np.arange(len(edges.at)))
         mixer.bits_of(edges, tries, kind)
     assert calls == [len(edges.at)]
+
+
+@pytest.mark.parametrize("values", [{}, {"PART_TOKENS": 150, "HOT": 20, "FREQUENT": 5}, {"PART_TOKENS": 150, "FREQUENT": 0}])
+def test_words_are_scored_after_the_word_before_them(spark, monkeypatch, values):
+    """Chances by hand, from the bits of each word and the training counts of neighbours, with parts and hot words or without."""
+    small(monkeypatch, RANGE_WORDS=40, **values)
+    rnd, stored, seen = np.random.default_rng(3), mixing.written, {}
+
+    def kept(rows, name, *a, **k):
+        out = stored(rows, name, *a, **k)
+        if name == "scored":
+            seen.update((r["hash"], r.asDict()) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(mixing, "written", kept)
+    texts = [" ".join(f"w{int(i)}" for i in rnd.zipf(1.4, rnd.integers(0, 40)) % 60) for _ in range(60)]
+    texts += [None, "", "one rare sentence of few words", "one rare sentence of few words", "words few of sentence rare one", texts[0], texts[1]]
+    rows = [(i, t, "en" if i % 3 else "de") for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in mixing.score(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)).collect()}
+    tokens = {i: [w.encode() for w in (t or "").split()] + [b"\n"] for i, t, _ in rows}
+    trains = [r for r in rows if not got[r[0]]["held_out"]]
+    pairs = Counter(p for i, *_ in trains for p in zip([b"\n", *tokens[i]], tokens[i], strict=False))
+    before, followers = Counter(), Counter(u for u, _ in pairs)
+    for (u, _), n in pairs.items():
+        before[u] += n
+    once, twice = (sum(n == k for n in pairs.values()) for k in (1, 2))
+    discount = once / (once + 2 * twice)
+    names = sorted({w for own in tokens.values() for w in own})
+    bits = {w: seen[h] for w, h in zip(names, mixing.hashes_of(names).view(np.int64).tolist(), strict=True)}
+    assert 0 < discount < 1 and max(before.values()) > 40
+    for i, *_ in rows:
+        of_kinds = []
+        for kind, lang in enumerate(sorted({k for *_, k in trains}, key=lambda k: (-sum(r[2] == k for r in trains), k))):
+            chance = sum(r[2] == lang for r in trains) / len(trains)
+            for u, w in zip([b"\n", *tokens[i]], tokens[i], strict=False):
+                alone = 2.0 ** -bits[w][f"bits{kind}"]
+                chance *= (max(pairs[u, w] - discount, 0) + discount * followers[u] * alone) / before[u] if before[u] else alone
+            of_kinds.append(chance)
+        assert got[i]["score"] == pytest.approx(math.log10(sum(of_kinds)), rel=1e-6)
+    same, turned = len(texts) - 5, len(texts) - 3  # equal words, another order
+    assert got[same]["base_score"] == pytest.approx(got[turned]["base_score"]) and abs(got[same]["score"] - got[turned]["score"]) > 0.1
+
+
+def test_chances_after_a_word_are_a_distribution():
+    rnd = np.random.default_rng(4)
+    alone = rnd.dirichlet(np.ones(50))
+    counts = rnd.integers(0, 4, 50)
+    for discount in (0.05, 0.7, 1.0):
+        after = mixing.follow(-np.log2(alone), counts, np.full(50, counts.sum()), np.full(50, (counts > 0).sum()), discount)
+        assert (2.0**after).sum() == pytest.approx(1)
+    nothing = np.zeros(50, np.int64)
+    assert np.allclose(mixing.follow(-np.log2(alone), nothing, nothing, nothing, 0.7), np.log2(alone))
+    assert np.isfinite(mixing.follow(np.full(1, 1e5), nothing[:1], np.ones(1), np.ones(1), 0.7)).all()
