@@ -194,8 +194,18 @@ def test_chances_after_a_word_are_a_distribution():
     alone = rnd.dirichlet(np.ones(50))
     counts = rnd.integers(0, 4, 50)
     for discount in (0.05, 0.7, 1.0):
-        after = mixing.follow(-np.log2(alone), counts, np.full(50, counts.sum()), np.full(50, (counts > 0).sum()), discount)
+        after = mixing.follow(counts, np.full(50, counts.sum()), np.full(50, (counts > 0).sum()), discount)(-np.log2(alone))
         assert (2.0**after).sum() == pytest.approx(1)
     nothing = np.zeros(50, np.int64)
-    assert np.allclose(mixing.follow(-np.log2(alone), nothing, nothing, nothing, 0.7), np.log2(alone))
-    assert np.isfinite(mixing.follow(np.full(1, 1e5), nothing[:1], np.ones(1), np.ones(1), 0.7)).all()
+    assert np.allclose(mixing.follow(nothing, nothing, nothing, 0.7)(-np.log2(alone)), np.log2(alone))
+    assert np.isfinite(mixing.follow(nothing[:1], np.ones(1), np.ones(1), 0.7)(np.full(1, 1e5))).all()
+
+
+def test_words_are_what_bytes_split_gives():
+    import pyarrow as pa
+
+    texts = [None, "", " ", "\n a\tB\x0bc\x0cD\r ", "a\0b \0 x", "Ünï\u00a0the\u2003\x1cX\x85y", "ÀÉ the THE", "end"]
+    names, places, sizes = mixing.numbered_words(pa.array(texts))
+    want = [[w.replace(b"\0", b" ") for w in (t or "").encode().lower().split()] + [b"\n"] for t in texts]
+    assert [names[p] for p in places] == [w for of_text in want for w in of_text] and sizes.tolist() == list(map(len, want))
+    assert len(set(names)) == len(names)
